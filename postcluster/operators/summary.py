@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postcluster.functions.geometry import Point, nearest_center
+from postcluster.functions.geometry import Point, with_nearest_center
 from postcluster.functions.language import language_label
 from postcluster.operators.vectors import ensure_weighted
 from postcluster.params import DEFAULT_PARAMS, REPORT_HEADER, REPORT_LINE_FORMAT, ClusterParams
@@ -30,9 +30,7 @@ SUMMARY_SCHEMA = "cluster int, lang string, lang_percent double, size bigint, me
 
 def _assigned(points: DataFrame, centers: Sequence[Point]) -> DataFrame:
     weighted = ensure_weighted(points)
-    return weighted.select(
-        nearest_center(F.col("x"), F.col("y"), centers)["cluster"].alias("cluster"), "x", "y", "n"
-    )
+    return with_nearest_center(weighted, centers, method="array").select("cluster", "x", "y", "n")
 
 
 def cluster_language_counts(points: DataFrame, centers: Sequence[Point],
