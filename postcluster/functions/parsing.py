@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 # An int field: optional sign and ASCII digits, no blanks.  Spark's cast
 # trims blanks (' 5' becomes 5), so the pattern is checked as well.
-_INT_PATTERN = r"^[+-]?[0-9]+$"
+_INT_PATTERN = r"^[+-]?[0-9]+\z"
+_INT = r"[+-]?[0-9]+"
+# A whole posting line: int, int, optional int, optional int, int, then
+# anything (tags and ignored fields; trailing empty fields are dropped).
+LINE_PATTERN = rf"(?s)^{_INT},{_INT},(?:{_INT})?,(?:{_INT})?,{_INT}(?:,.*)?\z"
+# One of the first five fields holds a number of 10 or more digits, which
+# may overflow an int and needs the exact check.
+LONG_NUMBER_PATTERN = r"^(?:[^,]*,){0,4}[+-]?[0-9]{10,}(?:,|\z)"
 
 
 def split_fields(line: Column) -> Column:
@@ -20,7 +27,7 @@ def split_fields(line: Column) -> Column:
     Spark's ``split`` keeps trailing empties, so they are stripped first.
     Interior empty fields are kept.
     """
-    return F.split(F.regexp_replace(line, ",+$", ""), ",", -1)
+    return F.split(F.regexp_replace(line, ",+\\z", ""), ",", -1)
 
 
 def field(fields: Column, i: int) -> Column:

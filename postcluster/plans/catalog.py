@@ -28,7 +28,8 @@ from postcluster.operators.summary import cluster_language_counts, cluster_summa
 from postcluster.operators.vectors import label_vectors, weighted_points, with_language_index
 from postcluster.params import DEFAULT_PARAMS, ClusterParams
 from postcluster.plans.clustering import cluster_lines, cluster_points, prepare_points
-from postcluster.sources.tables import posting_lines_from_tables, postings_from_tables
+from postcluster.session import materialize
+from postcluster.sources.tables import posting_text_from_tables, postings_from_tables
 from postcluster.sources.text import parse_postings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,7 +49,7 @@ def _vectors(spark: SparkSession, sf_dir: str, params: ClusterParams = DEFAULT_P
 
 def raw_posting_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines read and postings parsed (equal, or the parse fails)."""
-    lines = posting_lines_from_tables(spark, sf_dir)
+    lines = posting_text_from_tables(spark, sf_dir)
     read = lines.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit("lines").alias("what"), "row_count"
     )
@@ -59,8 +60,8 @@ def raw_posting_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postings rendered as text lines and parsed back."""
-    return parse_postings(posting_lines_from_tables(spark, sf_dir))
+    """Postings written as text lines, scanned and parsed back."""
+    return parse_postings(posting_text_from_tables(spark, sf_dir))
 
 
 def questions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,19 +110,26 @@ def global_sample_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return global_sample(_vectors(spark, sf_dir, MIXED_PARAMS), MIXED_PARAMS)
 
 
+def _written_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors written once, so the sample and the step that follows both
+    read the file instead of re-running the join."""
+    vectors, _ = materialize(_vectors(spark, sf_dir), "vectors")
+    return vectors
+
+
 def nearest_center_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its nearest initial center and squared distance."""
-    vectors = _vectors(spark, sf_dir)
+    vectors = _written_vectors(spark, sf_dir)
     return assign_clusters(vectors, initial_centers(vectors, DEFAULT_PARAMS))
 
 
 def center_update_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _vectors(spark, sf_dir)
+    vectors = _written_vectors(spark, sf_dir)
     return center_update(vectors, initial_centers(vectors, DEFAULT_PARAMS))
 
 
 def center_shift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _vectors(spark, sf_dir)
+    vectors = _written_vectors(spark, sf_dir)
     return center_shift(vectors, initial_centers(vectors, DEFAULT_PARAMS), DEFAULT_PARAMS.eta)
 
 
@@ -169,7 +177,7 @@ def cluster_report_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def end_to_end_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines -> parse -> pair -> score -> vectors -> k-means -> summary."""
-    return cluster_lines(posting_lines_from_tables(spark, sf_dir), DEFAULT_PARAMS).summary
+    return cluster_lines(posting_text_from_tables(spark, sf_dir), DEFAULT_PARAMS).summary
 
 
 QUERIES: dict[str, Query] = {

@@ -72,6 +72,19 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
     return spark.read.parquet(path), True
 
 
+def write_lines(lines: DataFrame, name: str) -> str | None:
+    """Write a ``value string`` frame as text files in the shared folder.
+
+    Returns the folder, or None when no shared folder is configured.
+    """
+    root = checkpoint_root(lines.sparkSession)
+    if not root:
+        return None
+    path = f"{root.rstrip('/')}/postcluster/{name}-{uuid.uuid4().hex}"
+    lines.write.mode("error").text(path)
+    return path
+
+
 def release(df: DataFrame, durable: bool) -> None:
     if not durable:
         df.unpersist()

@@ -4,6 +4,7 @@ from postcluster.sources.tables import (
     answer_postings,
     other_postings,
     posting_lines_from_tables,
+    posting_text_from_tables,
     postings_from_tables,
     question_postings,
     read_table,
@@ -25,6 +26,7 @@ __all__ = [
     "parse_postings",
     "posting_lines",
     "posting_lines_from_tables",
+    "posting_text_from_tables",
     "postings_from_tables",
     "question_postings",
     "read_posting_lines",

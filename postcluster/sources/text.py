@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postcluster.functions.parsing import (
+    LINE_PATTERN,
+    LONG_NUMBER_PATTERN,
     empty_to_null,
     field,
     is_optional_int,
@@ -29,15 +31,21 @@ def read_posting_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def _line_is_valid(fields: Column) -> Column:
-    return (
-        (F.size(fields) >= F.lit(5))
-        & is_strict_int(field(fields, 0))
+def _line_is_valid(line: Column) -> Column:
+    """One anchored regex checks the layout; only a line with a 10+ digit
+    number in its first five fields pays for splitting and the exact int
+    range check (``AND``/``OR`` short-circuit).  A filter gets no common
+    subexpression elimination, so checking field by field would split the
+    line once per test."""
+    fields = split_fields(line)
+    in_range = (
+        is_strict_int(field(fields, 0))
         & is_strict_int(field(fields, 1))
         & is_optional_int(field(fields, 2))
         & is_optional_int(field(fields, 3))
         & is_strict_int(field(fields, 4))
     )
+    return line.rlike(LINE_PATTERN) & (~line.rlike(LONG_NUMBER_PATTERN) | in_range)
 
 
 def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -51,7 +59,7 @@ def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
     """
     fields = split_fields(F.col(column))
     checked = lines.where(
-        F.when(_line_is_valid(fields), F.lit(True)).otherwise(
+        F.when(_line_is_valid(F.col(column)), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("malformed posting line: "), F.col(column)))
         )
     )

@@ -17,9 +17,14 @@ GOOD = [
     ('3,1,,,0,"q', (3, 1, None, None, 0, '"q')),
     ("1,+3,,,-0,C++", (1, 3, None, None, 0, "C++")),
     ("1,12,,,5,,,,", (1, 12, None, None, 5, None)),
+    ("1,2147483647,-2147483648,,5,Java", (1, 2147483647, -2147483648, None, 5, "Java")),
+    ("1,13,,,5,12345678901", (1, 13, None, None, 5, "12345678901")),
+    ("1,14,,,0012,a b", (1, 14, None, None, 12, "a b")),
+    ("2,15,,14,5,\u2028", (2, 15, None, 14, 5, "\u2028")),
 ]
 
-BAD = ["1,2", "", "1,2,,,,CSS", "1, 2,,,5", "1,x,,,5", "1,99999999999,,,5", "1,2,3.5,,5", ",,,,,"]
+BAD = ["1,2", "", "1,2,,,,CSS", "1, 2,,,5", "1,x,,,5", "1,99999999999,,,5", "1,2,3.5,,5", ",,,,,",
+       "1,2147483648,,,5", "1,5,,-2147483649,5", "1,5,,,5 ", "1,5,,,+", "1,5,,,5\u2028"]
 
 
 def test_edge_lines_parse(spark, lines_file):
