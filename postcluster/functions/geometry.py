@@ -54,54 +54,51 @@ def with_nearest_center(df: DataFrame, centers: Sequence[Point], x: str = "x", y
     """
     if len(centers) == 0:
         raise ValueError("no centers to assign points to")
-    if method == "array":
-        return _nearest_by_array(df, centers, x, y, cluster, distance)
-    if method != "columns":
+    if method not in ("columns", "array"):
         raise ValueError(f"unknown method {method!r}")
-    xd = F.col(x).cast("double")
-    yd = F.col(y).cast("double")
+    # Built as SQL text: one call per projection instead of hundreds of
+    # small Column calls, which cost more than running an iteration.
+    keep = [_quote(c) for c in df.columns if c not in (cluster, distance)]
+    xd = f"cast({_quote(x)} as double)"
+    yd = f"cast({_quote(y)} as double)"
+    if method == "array":
+        table = ", ".join(
+            f"named_struct('cx', {_double(cx)}, 'cy', {_double(cy)}, 'i', {i})"
+            for i, (cx, cy) in enumerate(centers)
+        )
+        best = (
+            f"array_min(transform(array({table}), c -> named_struct("
+            f"'d', ({xd} - c.cx) * ({xd} - c.cx) + ({yd} - c.cy) * ({yd} - c.cy), 'i', c.i)))"
+        )
+        return df.selectExpr(*keep, f"{best} AS __best").selectExpr(
+            *keep, f"cast(__best.i as int) AS {_quote(cluster)}", f"__best.d AS {_quote(distance)}"
+        )
     names = [f"__dist{i}" for i in range(len(centers))]
-    dists = []
-    for name, (cx, cy) in zip(names, centers):
-        dx = xd - F.lit(float(cx))
-        dy = yd - F.lit(float(cy))
-        dists.append((dx * dx + dy * dy).alias(name))
-    keep = [F.col(c) for c in df.columns if c not in (cluster, distance)]
-    with_dists = df.select(*keep, *dists)
-    best = F.least(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0])
-    with_best = with_dists.withColumn("__best", best)
+    dists = [
+        f"({xd} - {_double(cx)}) * ({xd} - {_double(cx)}) "
+        f"+ ({yd} - {_double(cy)}) * ({yd} - {_double(cy)}) AS {name}"
+        for name, (cx, cy) in zip(names, centers)
+    ]
+    best = f"least({', '.join(names)})" if len(names) > 1 else names[0]
     # The last index is the ``otherwise`` branch: some distance always equals
     # the least one, and a non-nullable result keeps Catalyst from inferring
     # ``isnotnull(cluster)`` for a join on it and inlining all k distances
     # into a pushed-down filter (which made the generated code too big).
     last = len(names) - 1
-    pick = F.lit(0)
+    pick = "0"
     if last > 0:
-        pick = F.when(F.col(names[0]) == F.col("__best"), F.lit(0))
-        for i, name in enumerate(names[1:last], start=1):
-            pick = pick.when(F.col(name) == F.col("__best"), F.lit(i))
-        pick = pick.otherwise(F.lit(last))
-    return with_best.select(
-        *keep, pick.cast("int").alias(cluster), F.col("__best").alias(distance)
+        whens = " ".join(f"WHEN {n} = __best THEN {i}" for i, n in enumerate(names[:last]))
+        pick = f"CASE {whens} ELSE {last} END"
+    return (
+        df.selectExpr(*keep, *dists)
+        .selectExpr(*keep, *names, f"{best} AS __best")
+        .selectExpr(*keep, f"cast({pick} as int) AS {_quote(cluster)}", f"__best AS {_quote(distance)}")
     )
 
 
-def _nearest_by_array(df: DataFrame, centers: Sequence[Point], x: str, y: str,
-                      cluster: str, distance: str) -> DataFrame:
-    table = F.array(*[
-        F.struct(F.lit(float(cx)).alias("cx"), F.lit(float(cy)).alias("cy"), F.lit(i).alias("i"))
-        for i, (cx, cy) in enumerate(centers)
-    ])
-    xd = F.col(x).cast("double")
-    yd = F.col(y).cast("double")
-
-    def candidate(c: Column) -> Column:
-        dx = xd - c["cx"]
-        dy = yd - c["cy"]
-        return F.struct((dx * dx + dy * dy).alias("d"), c["i"].alias("i"))
-
-    best = F.array_min(F.transform(table, candidate))
-    keep = [F.col(c) for c in df.columns if c not in (cluster, distance)]
-    return df.withColumn("__best", best).select(
-        *keep, F.col("__best.i").cast("int").alias(cluster), F.col("__best.d").alias(distance)
-    )
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _double(v: int) -> str:
+    return f"{float(v)!r}D"

@@ -14,7 +14,9 @@ from postcluster.operators.pairing import (
     contains_ranking,
     grouped_posting_count,
     grouped_postings,
+    posting_reduction,
     question_answer_pairs,
+    scored_from_reduction,
     scored_postings,
 )
 from postcluster.operators.postings import answers, questions
@@ -58,12 +60,14 @@ __all__ = [
     "kmeans",
     "label_vectors",
     "lloyd_step",
+    "posting_reduction",
     "print_report",
     "question_answer_pairs",
     "questions",
     "report_lines",
     "sample_order",
     "sample_vectors",
+    "scored_from_reduction",
     "scored_postings",
     "stratified_sample",
     "weighted_points",

@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -130,6 +131,27 @@ class KMeansResult:
         return spark.createDataFrame(self.trace, TRACE_SCHEMA)
 
 
+# Up to this many distinct points, the iterations run as one in-memory task.
+SINGLE_TASK_POINTS = 2_000_000
+
+
+def loop_input(weighted: DataFrame) -> DataFrame:
+    """The weighted points as the loop reads them, cached.
+
+    Their number is bounded by languages times distinct scores, not by the
+    input size; it is counted once.  Up to ``SINGLE_TASK_POINTS`` they are
+    coalesced into one partition: its ``SinglePartition`` layout already
+    satisfies ``groupBy("cluster")``, so each iteration is a single-stage
+    job with no shuffle.  Above that they stay distributed and each
+    iteration aggregates partially before a shuffle of at most k rows per
+    task.  The cache sits on top of the written file, so a lost executor
+    rebuilds it from there.
+    """
+    n = weighted.count()
+    laid_out = weighted.coalesce(1) if n <= SINGLE_TASK_POINTS else weighted
+    return laid_out.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def lloyd_step(points: DataFrame, means: Sequence[Point]) -> list[Point]:
     """New centers from one pass; empty clusters keep their old center."""
     new = list(means)
@@ -150,9 +172,10 @@ def kmeans(points: DataFrame, initial: Sequence[Point],
     if len(initial) == 0:
         raise ValueError("k-means needs at least one initial center")
     if materialize_input:
-        weighted, durable = materialize(ensure_weighted(points), "weighted-points")
+        written, durable = materialize(ensure_weighted(points), "weighted-points")
     else:
-        weighted, durable = ensure_weighted(points), True
+        written, durable = ensure_weighted(points), True
+    weighted = loop_input(written)
     try:
         means = [(int(x), int(y)) for x, y in initial]
         trace: list[tuple] = []
@@ -173,4 +196,5 @@ def kmeans(points: DataFrame, initial: Sequence[Point],
                 break
         return KMeansResult(list(initial), means, iteration, converged, trace)
     finally:
-        release(weighted, durable)
+        weighted.unpersist()
+        release(written, durable)

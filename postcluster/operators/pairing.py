@@ -78,25 +78,84 @@ def grouped_posting_count(postings: DataFrame) -> DataFrame:
     return q.join(a, "question_id", "left_semi").agg(F.count(F.lit(1)).alias("groups"))
 
 
+def posting_reduction(postings: DataFrame) -> DataFrame:
+    """Questions and answers in one pass, reduced per question.
+
+    Every question maps to ``(question_id = id, its columns)`` and every
+    answer with a parent to ``(question_id = parent_id, nulls, its score)``.
+    One aggregate over ``(question_id, is_question, question columns)``
+    removes duplicate questions (``copies`` counts them) and reduces each
+    question's answers to their count, best score and id range.  It has a
+    partial (map-side) step, so a hot question id costs one row per task in
+    the shuffle.
+
+    The result is at most one row per distinct question plus one per
+    answered id, so it is much smaller than the postings.  Writing it once
+    (``session.materialize``) lets both halves of the join below read it
+    instead of scanning and parsing the input twice.
+    """
+    is_q = F.col("posting_type") == F.lit(1)
+    is_a = (F.col("posting_type") == F.lit(2)) & F.col("parent_id").isNotNull()
+
+    def q(name: str):
+        return F.when(is_q, F.col(name))
+
+    keyed = postings.where(is_q | is_a).select(
+        F.when(is_q, F.col("id")).otherwise(F.col("parent_id")).alias("question_id"),
+        is_q.alias("is_question"),
+        q("accepted_answer").alias("q_accepted_answer"),
+        q("parent_id").alias("q_parent_id"),
+        q("score").alias("q_score"),
+        q("tags").alias("q_tags"),
+        F.when(is_a, F.col("score")).alias("answer_score"),
+        F.when(is_a, F.col("id")).alias("answer_id"),
+    )
+    return keyed.groupBy(
+        "question_id", "is_question", "q_accepted_answer", "q_parent_id", "q_score", "q_tags"
+    ).agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.max("answer_score").alias("high_score"),
+        F.min("answer_id").alias("min_answer_id"),
+        F.max("answer_id").alias("max_answer_id"),
+    )
+
+
+def scored_from_reduction(reduced: DataFrame) -> DataFrame:
+    """Join the question half of a :func:`posting_reduction` with its answer half."""
+    qs = reduced.where(F.col("is_question")).select(
+        "question_id", "q_accepted_answer", "q_parent_id", "q_score", "q_tags"
+    )
+    best = reduced.where(~F.col("is_question")).select(
+        F.col("question_id").alias("answered_id"), "high_score"
+    )
+    joined = qs.join(best, qs["question_id"] == best["answered_id"], "inner")
+    return joined.select(
+        F.lit(1).alias("posting_type"),
+        F.col("question_id").alias("id"),
+        F.col("q_accepted_answer").alias("accepted_answer"),
+        F.col("q_parent_id").alias("parent_id"),
+        F.col("q_score").alias("score"),
+        F.col("q_tags").alias("tags"),
+        F.col("high_score"),
+    )
+
+
 def scored_postings(postings: DataFrame) -> DataFrame:
     """Each answered question with the best score among its answers.
 
     Questions are grouped by whole-posting equality: exact duplicate
     questions merge into one row, while different postings that share an
     id stay separate (each with the id's best answer score).  Equal to
-    pairing, grouping and taking the max, without forming pairs:
-
-    * answers: partial + final ``max(score)`` per ``parent_id``;
-    * questions: ``dropDuplicates()`` (partial aggregate removes copies
-      map-side; distinct postings of a hot id spread over all columns);
-    * inner join on the id.  A hot id on the question side is a skewed
-      join partition, which AQE splits; the answer side has one row per id.
+    pairing, grouping and taking the max, without forming pairs.
+
+    Lazy form: the filters on ``is_question`` reach below the aggregate, so
+    when questions and answers come from different sources each half reads
+    only its own.  For one mixed source, write the reduction first (see
+    ``plans.clustering``).  The join on ``question_id`` matches distinct
+    questions with one best-score row per question; a hot question id on
+    the question side is a skewed join partition, which AQE splits.
     """
-    best = _answer_stats(postings).select("question_id", "high_score")
-    q = questions(postings).dropDuplicates()
-    return q.join(best, q["id"] == best["question_id"], "inner").select(
-        *[q[c] for c in POSTING_COLUMNS], best["high_score"]
-    )
+    return scored_from_reduction(posting_reduction(postings))
 
 
 def contains_ranking(scored: DataFrame, posting_id: int, ranking: int) -> bool:

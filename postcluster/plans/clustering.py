@@ -2,14 +2,17 @@
 
 ``cluster_postings`` is the original job's main flow: postings -> best
 answer score per question -> 2-D vectors -> sample -> k-means -> per-cluster
-summary.  Two tables are written once to the shared checkpoint folder:
+summary.  Three tables are written once to the shared checkpoint folder:
 
+* the per-question reduction of the postings (one row per distinct question
+  and per answered id): the input is scanned and parsed once, and both
+  sides of the question/answer join read this much smaller table;
 * the vectors (``id, x, y``, 12 bytes a row): the sample and the point
   compression both read them, so the upstream scan and join run once;
 * the weighted points (one row per distinct ``(x, y)``): every k-means
   iteration and the summary read them.
 
-Both writes cut the lineage, so a lost executor re-reads a file instead of
+These writes cut the lineage, so a lost executor re-reads a file instead of
 re-running the join.  The summary that comes back is a lazy DataFrame over
 the weighted points; only the k centers ever reach the driver.
 """
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postcluster.functions.geometry import Point
 from postcluster.operators.kmeans import KMeansResult, kmeans
-from postcluster.operators.pairing import scored_postings
+from postcluster.operators.pairing import posting_reduction, scored_from_reduction
 from postcluster.operators.sampling import initial_centers
 from postcluster.operators.summary import cluster_summary, print_report, report_lines
 from postcluster.operators.vectors import label_vectors, weighted_points
@@ -50,7 +53,8 @@ class ClusteringOutcome:
 
 def prepare_points(postings: DataFrame, params: ClusterParams = DEFAULT_PARAMS) -> PreparedPoints:
     """Vectors and weighted points of the postings, each written once."""
-    vectors, _ = materialize(label_vectors(scored_postings(postings), params), "vectors")
+    reduced, _ = materialize(posting_reduction(postings), "posting-reduction")
+    vectors, _ = materialize(label_vectors(scored_from_reduction(reduced), params), "vectors")
     weighted, _ = materialize(weighted_points(vectors), "weighted-points")
     return PreparedPoints(vectors, weighted)
 

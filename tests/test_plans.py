@@ -32,7 +32,7 @@ def test_scored_prunes_columns_and_aggregates_before_shuffle(spark):
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", text)
     assert "struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in schemas
     assert "struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in schemas
-    assert "partial_max(score" in text
+    assert "partial_max(answer_score" in text
 
 
 def test_vectors_filter_reaches_the_orders_scan(spark):
