@@ -33,16 +33,16 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
     return pairs.select(F.col("q_id").alias("question_id"), *[c for c in pairs.columns])
 
 
-def _answer_stats(postings: DataFrame) -> DataFrame:
-    return (
-        answers(postings)
-        .groupBy(F.col("parent_id").alias("question_id"))
-        .agg(
-            F.count(F.lit(1)).alias("answers"),
-            F.min("id").alias("min_answer_id"),
-            F.max("id").alias("max_answer_id"),
-            F.max("score").alias("high_score"),
-        )
+def _by_question(postings: DataFrame) -> DataFrame:
+    """Every question and every answer with a parent, keyed by the question
+    they belong to (``id`` for a question, ``parent_id`` for an answer)."""
+    is_q = F.col("posting_type") == F.lit(1)
+    is_a = (F.col("posting_type") == F.lit(2)) & F.col("parent_id").isNotNull()
+    return postings.where(is_q | is_a).select(
+        F.when(is_q, F.col("id")).otherwise(F.col("parent_id")).alias("question_id"),
+        is_q.alias("is_question"),
+        F.when(is_a, F.col("id")).alias("answer_id"),
+        F.when(is_a, F.col("score")).alias("answer_score"),
     )
 
 
@@ -53,14 +53,19 @@ def grouped_postings(postings: DataFrame) -> DataFrame:
     collection.  Here a group is described by its counts instead of being
     materialised: ``pairs`` is the size that collection would have
     (question postings with that id times answers to it), and the
-    min/max answer ids and best score summarise its content.  Both sides
-    are aggregated before the join, so no pair is ever formed.
+    min/max answer ids and best score summarise its content.
+
+    One scan, one ``groupBy(question_id)`` with a partial (map-side) step:
+    no pair is formed and a hot id costs one row per task in the shuffle.
     """
-    q = questions(postings).groupBy(F.col("id").alias("question_id")).agg(
-        F.count(F.lit(1)).alias("question_postings")
+    stats = _by_question(postings).groupBy("question_id").agg(
+        F.count_if(F.col("is_question")).alias("question_postings"),
+        F.count_if(~F.col("is_question")).alias("answers"),
+        F.min("answer_id").alias("min_answer_id"),
+        F.max("answer_id").alias("max_answer_id"),
+        F.max("answer_score").alias("high_score"),
     )
-    a = _answer_stats(postings)
-    return q.join(a, "question_id", "inner").select(
+    return stats.where((F.col("question_postings") > 0) & (F.col("answers") > 0)).select(
         "question_id",
         "question_postings",
         "answers",
@@ -73,9 +78,13 @@ def grouped_postings(postings: DataFrame) -> DataFrame:
 
 def grouped_posting_count(postings: DataFrame) -> DataFrame:
     """Number of question ids with at least one answer (one row, ``groups``)."""
-    q = questions(postings).select(F.col("id").alias("question_id")).distinct()
-    a = answers(postings).select(F.col("parent_id").alias("question_id")).distinct()
-    return q.join(a, "question_id", "left_semi").agg(F.count(F.lit(1)).alias("groups"))
+    per_id = _by_question(postings).groupBy("question_id").agg(
+        F.max(F.col("is_question")).alias("has_question"),
+        F.min(F.col("is_question")).alias("lacks_answer"),
+    )
+    return per_id.where(F.col("has_question") & ~F.col("lacks_answer")).agg(
+        F.count(F.lit(1)).alias("groups")
+    )
 
 
 def posting_reduction(postings: DataFrame) -> DataFrame:
