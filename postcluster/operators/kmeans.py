@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from postcluster.functions.geometry import Point, squared_distance_py, with_nearest_center
 from postcluster.operators.vectors import ensure_weighted
 from postcluster.params import DEFAULT_PARAMS, ClusterParams
-from postcluster.session import materialize, release
+from postcluster.session import materialize
 
 TRACE_SCHEMA = (
     "iteration int, cluster int, old_x int, old_y int, x int, y int, "
@@ -171,11 +171,8 @@ def kmeans(points: DataFrame, initial: Sequence[Point],
     """
     if len(initial) == 0:
         raise ValueError("k-means needs at least one initial center")
-    if materialize_input:
-        written, durable = materialize(ensure_weighted(points), "weighted-points")
-    else:
-        written, durable = ensure_weighted(points), True
-    weighted = loop_input(written)
+    written = materialize(ensure_weighted(points), "weighted-points") if materialize_input else None
+    weighted = loop_input(written.frame if written else ensure_weighted(points))
     try:
         means = [(int(x), int(y)) for x, y in initial]
         trace: list[tuple] = []
@@ -197,4 +194,5 @@ def kmeans(points: DataFrame, initial: Sequence[Point],
         return KMeansResult(list(initial), means, iteration, converged, trace)
     finally:
         weighted.unpersist()
-        release(written, durable)
+        if written is not None:
+            written.discard()

@@ -113,8 +113,7 @@ def global_sample_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors written once, so the sample and the step that follows both
     read the file instead of re-running the join."""
-    vectors, _ = materialize(_vectors(spark, sf_dir), "vectors")
-    return vectors
+    return materialize(_vectors(spark, sf_dir), "vectors").frame
 
 
 def nearest_center_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,11 +138,15 @@ def _clustered(spark: SparkSession, sf_dir: str, params: ClusterParams = DEFAULT
 
 
 def kmeans_trace_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clustered(spark, sf_dir).kmeans.trace_frame(spark)
+    outcome = _clustered(spark, sf_dir)
+    outcome.discard()  # the trace is built from the k-row results
+    return outcome.kmeans.trace_frame(spark)
 
 
 def kmeans_centers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return centers_frame(spark, _clustered(spark, sf_dir).centers)
+    outcome = _clustered(spark, sf_dir)
+    outcome.discard()
+    return centers_frame(spark, outcome.centers)
 
 
 def cluster_language_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +163,7 @@ def cluster_summary_initial_query(spark: SparkSession, sf_dir: str) -> DataFrame
     its k-means never moves the centers."""
     points = prepare_points(_postings(spark, sf_dir), DEFAULT_PARAMS)
     start = initial_centers(points.vectors, DEFAULT_PARAMS)
+    points.discard_vectors()
     return cluster_summary(points.weighted, start, DEFAULT_PARAMS)
 
 

@@ -30,14 +30,29 @@ from postcluster.operators.sampling import initial_centers
 from postcluster.operators.summary import cluster_summary, print_report, report_lines
 from postcluster.operators.vectors import label_vectors, weighted_points
 from postcluster.params import DEFAULT_PARAMS, ClusterParams
-from postcluster.session import materialize
+from postcluster.session import Written, materialize
 from postcluster.sources.text import parse_postings, read_posting_lines
 
 
 @dataclass
 class PreparedPoints:
-    vectors: DataFrame       # id, x, y (written once)
-    weighted: DataFrame      # x, y, n (written once)
+    vectors_table: Written   # id, x, y
+    weighted_table: Written  # x, y, n
+
+    @property
+    def vectors(self) -> DataFrame:
+        return self.vectors_table.frame
+
+    @property
+    def weighted(self) -> DataFrame:
+        return self.weighted_table.frame
+
+    def discard_vectors(self) -> None:
+        self.vectors_table.discard()
+
+    def discard(self) -> None:
+        self.vectors_table.discard()
+        self.weighted_table.discard()
 
 
 @dataclass
@@ -50,19 +65,35 @@ class ClusteringOutcome:
     def centers(self) -> list[Point]:
         return self.kmeans.centers
 
+    def discard(self) -> None:
+        """Delete the written points once the summary will not be read again."""
+        self.points.discard()
+
 
 def prepare_points(postings: DataFrame, params: ClusterParams = DEFAULT_PARAMS) -> PreparedPoints:
-    """Vectors and weighted points of the postings, each written once."""
-    reduced, _ = materialize(posting_reduction(postings), "posting-reduction")
-    vectors, _ = materialize(label_vectors(scored_from_reduction(reduced), params), "vectors")
-    weighted, _ = materialize(weighted_points(vectors), "weighted-points")
+    """Vectors and weighted points of the postings, each written once.
+
+    The per-question reduction is deleted as soon as the vectors are
+    written: nothing reads it afterwards.
+    """
+    reduced = materialize(posting_reduction(postings), "posting-reduction")
+    vectors = materialize(label_vectors(scored_from_reduction(reduced.frame), params), "vectors")
+    reduced.discard()
+    weighted = materialize(weighted_points(vectors.frame), "weighted-points")
     return PreparedPoints(vectors, weighted)
 
 
 def cluster_points(points: PreparedPoints, params: ClusterParams = DEFAULT_PARAMS,
-                   exact_percent: bool = True) -> ClusteringOutcome:
-    """Sample, run k-means and summarise prepared points."""
+                   exact_percent: bool = True, keep_vectors: bool = False) -> ClusteringOutcome:
+    """Sample, run k-means and summarise prepared points.
+
+    The vectors are only needed for the sample; unless ``keep_vectors``,
+    their files are deleted once it is drawn.  The summary reads the
+    weighted points, which stay until :meth:`ClusteringOutcome.discard`.
+    """
     start = initial_centers(points.vectors, params)
+    if not keep_vectors:
+        points.discard_vectors()
     result = kmeans(points.weighted, start, params, materialize_input=False)
     summary = cluster_summary(points.weighted, result.centers, params, exact_percent)
     return ClusteringOutcome(points, result, summary)

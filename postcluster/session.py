@@ -13,6 +13,7 @@ import logging
 import os
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -53,23 +54,50 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+@dataclass
+class Written:
+    """An intermediate table: the frame to read, and where its files are.
+
+    ``path`` is None when no shared folder was configured and the frame is
+    a ``persist`` instead.  :meth:`discard` deletes the files (or drops the
+    cache) once nothing will read the frame again.
+    """
+
+    frame: DataFrame
+    path: str | None
+
+    @property
+    def durable(self) -> bool:
+        return self.path is not None
+
+    def discard(self) -> None:
+        if self.path is None:
+            self.frame.unpersist()
+            return
+        spark = self.frame.sparkSession
+        jvm = spark.sparkContext._jvm
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(hadoop_path, True)
+        self.path = None
+
+
+def materialize(df: DataFrame, name: str) -> Written:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     The returned frame's lineage starts at the written files, so a lost
     executor re-reads them instead of re-running the scan, join and
-    aggregation that produced them.  Returns ``(frame, durable)``; without a
-    configured folder it falls back to ``persist`` (recomputed on loss) and
-    ``durable`` is False.  Callers release the fallback with :func:`release`.
+    aggregation that produced them.  Without a configured folder it falls
+    back to ``persist`` (recomputed from lineage on loss).
     """
     spark = df.sparkSession
     root = checkpoint_root(spark)
     if not root:
         log.warning("spark.checkpoint.dir is unset; %s is cached, not written", name)
-        return df.persist(StorageLevel.MEMORY_AND_DISK), False
+        return Written(df.persist(StorageLevel.MEMORY_AND_DISK), None)
     path = f"{root.rstrip('/')}/postcluster/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path), True
+    return Written(spark.read.parquet(path), path)
 
 
 def write_lines(lines: DataFrame, name: str) -> str | None:
@@ -83,8 +111,3 @@ def write_lines(lines: DataFrame, name: str) -> str | None:
     path = f"{root.rstrip('/')}/postcluster/{name}-{uuid.uuid4().hex}"
     lines.write.mode("error").text(path)
     return path
-
-
-def release(df: DataFrame, durable: bool) -> None:
-    if not durable:
-        df.unpersist()
