@@ -97,7 +97,8 @@ def materialize(df: DataFrame, name: str) -> Written:
         return Written(df.persist(StorageLevel.MEMORY_AND_DISK), None)
     path = f"{root.rstrip('/')}/postcluster/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return Written(spark.read.parquet(path), path)
+    # The schema is known: no footer-reading job to infer it again.
+    return Written(spark.read.schema(df.schema).parquet(path), path)
 
 
 def write_lines(lines: DataFrame, name: str) -> str | None:
