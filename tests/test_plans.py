@@ -63,3 +63,47 @@ def test_assignment_stays_in_codegen(spark):
     final = executed.split("== Initial Plan ==")[0]
     lines = [ln for ln in final.splitlines() if "__dist" in ln]
     assert len(lines) >= 3 and all("*(" in ln for ln in lines)
+
+
+def test_hot_question_id_is_split_by_aqe(spark):
+    """A third of all questions share one id (distinct postings): the join
+    partition for it is skewed, and AQE splits it across tasks."""
+    from pyspark.sql import functions as F
+
+    from postcluster.operators.pairing import scored_postings
+
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        n = 600_000
+        key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id").cast("int"))
+        q = spark.range(n).select(
+            F.lit(1).alias("posting_type"), key.alias("id"), F.lit(None).cast("int").alias("accepted_answer"),
+            F.lit(None).cast("int").alias("parent_id"), F.col("id").cast("int").alias("score"),
+            F.md5(F.col("id").cast("string")).alias("tags"))
+        a = spark.range(n).select(
+            F.lit(2).alias("posting_type"), (F.col("id") + 10_000_000).cast("int").alias("id"),
+            F.lit(None).cast("int").alias("accepted_answer"), key.alias("parent_id"),
+            (F.col("id") % 97).cast("int").alias("score"), F.lit(None).cast("string").alias("tags"))
+        out = scored_postings(q.unionByName(a)).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.length("tags")).alias("chars"))
+        row = out.collect()[0]
+        assert row["rows"] == n and row["chars"] == 32 * n
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
