@@ -15,7 +15,7 @@ from postcluster.operators.postings import answers, questions
 from postcluster.sources.text import POSTING_COLUMNS
 
 
-def _prefixed(df: DataFrame, prefix: str) -> list:
+def _prefixed(prefix: str) -> list:
     return [F.col(c).alias(f"{prefix}{c}") for c in POSTING_COLUMNS]
 
 
@@ -27,20 +27,33 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
     prefixed ``q_`` and the answer's prefixed ``a_``.  Catalyst picks the
     join strategy; with AQE a skewed question id is split at run time.
     """
-    q = questions(postings).select(*_prefixed(postings, "q_"))
-    a = answers(postings).select(*_prefixed(postings, "a_"))
+    q = questions(postings).select(*_prefixed("q_"))
+    a = answers(postings).select(*_prefixed("a_"))
     pairs = q.join(a, q["q_id"] == a["a_parent_id"], "inner")
     return pairs.select(F.col("q_id").alias("question_id"), *[c for c in pairs.columns])
 
 
 def _by_question(postings: DataFrame) -> DataFrame:
     """Every question and every answer with a parent, keyed by the question
-    they belong to (``id`` for a question, ``parent_id`` for an answer)."""
+    they belong to (``id`` for a question, ``parent_id`` for an answer).
+
+    Questions carry their columns (``q_*``), answers their id and score;
+    the other side's columns are null.  Callers that do not read a column
+    get it pruned by Catalyst.
+    """
     is_q = F.col("posting_type") == F.lit(1)
     is_a = (F.col("posting_type") == F.lit(2)) & F.col("parent_id").isNotNull()
+
+    def q(name: str):
+        return F.when(is_q, F.col(name))
+
     return postings.where(is_q | is_a).select(
         F.when(is_q, F.col("id")).otherwise(F.col("parent_id")).alias("question_id"),
         is_q.alias("is_question"),
+        q("accepted_answer").alias("q_accepted_answer"),
+        q("parent_id").alias("q_parent_id"),
+        q("score").alias("q_score"),
+        q("tags").alias("q_tags"),
         F.when(is_a, F.col("id")).alias("answer_id"),
         F.when(is_a, F.col("score")).alias("answer_score"),
     )
@@ -103,22 +116,7 @@ def posting_reduction(postings: DataFrame) -> DataFrame:
     (``session.materialize``) lets both halves of the join below read it
     instead of scanning and parsing the input twice.
     """
-    is_q = F.col("posting_type") == F.lit(1)
-    is_a = (F.col("posting_type") == F.lit(2)) & F.col("parent_id").isNotNull()
-
-    def q(name: str):
-        return F.when(is_q, F.col(name))
-
-    keyed = postings.where(is_q | is_a).select(
-        F.when(is_q, F.col("id")).otherwise(F.col("parent_id")).alias("question_id"),
-        is_q.alias("is_question"),
-        q("accepted_answer").alias("q_accepted_answer"),
-        q("parent_id").alias("q_parent_id"),
-        q("score").alias("q_score"),
-        q("tags").alias("q_tags"),
-        F.when(is_a, F.col("score")).alias("answer_score"),
-        F.when(is_a, F.col("id")).alias("answer_id"),
-    )
+    keyed = _by_question(postings)
     return keyed.groupBy(
         "question_id", "is_question", "q_accepted_answer", "q_parent_id", "q_score", "q_tags"
     ).agg(
