@@ -83,7 +83,9 @@ def initial_centers(vectors: DataFrame, params: ClusterParams = DEFAULT_PARAMS)
     """
     if params.samples_by_language:
         per = params.per_language  # raises on an uneven split
-    rows = sample_vectors(vectors, params).orderBy("cluster").select("x", "y").collect()
+    # At most ``kernels`` rows: sorted here rather than by a distributed sort.
+    rows = sorted(sample_vectors(vectors, params).select("cluster", "x", "y").collect(),
+                  key=lambda r: r["cluster"])
     if params.samples_by_language:
         counts: dict[int, int] = {}
         for r in rows:

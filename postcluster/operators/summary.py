@@ -107,5 +107,5 @@ def write_report(lines: DataFrame, path: str) -> None:
 
 def print_report(lines: DataFrame) -> None:
     """Print the report on the driver (k + 3 lines)."""
-    for row in lines.orderBy("line_no").collect():
+    for row in sorted(lines.collect(), key=lambda r: r["line_no"]):
         print(row["line"])
