@@ -135,21 +135,25 @@ class KMeansResult:
 SINGLE_TASK_POINTS = 2_000_000
 
 
-def loop_input(weighted: DataFrame) -> DataFrame:
-    """The weighted points as the loop reads them, cached.
+def compact(weighted: DataFrame, count: int) -> DataFrame:
+    """Weighted points laid out for small repeated jobs.
 
     Their number is bounded by languages times distinct scores, not by the
-    input size; it is counted once.  Up to ``SINGLE_TASK_POINTS`` they are
-    coalesced into one partition: its ``SinglePartition`` layout already
-    satisfies ``groupBy("cluster")``, so each iteration is a single-stage
-    job with no shuffle.  Above that they stay distributed and each
-    iteration aggregates partially before a shuffle of at most k rows per
-    task.  The cache sits on top of the written file, so a lost executor
-    rebuilds it from there.
+    input size.  Up to ``SINGLE_TASK_POINTS`` they are coalesced into one
+    partition: its ``SinglePartition`` layout already satisfies every
+    ``groupBy``, join and sort on them, so those jobs need no shuffle.
+    Above that they stay distributed (partial aggregates before a shuffle
+    of at most k rows per task).
     """
-    n = weighted.count()
-    laid_out = weighted.coalesce(1) if n <= SINGLE_TASK_POINTS else weighted
-    return laid_out.persist(StorageLevel.MEMORY_AND_DISK)
+    return weighted.coalesce(1) if count <= SINGLE_TASK_POINTS else weighted
+
+
+def loop_input(weighted: DataFrame, count: int | None = None) -> DataFrame:
+    """The weighted points as the k-means loop reads them: compact and
+    cached.  The cache sits on top of the written file, so a lost executor
+    rebuilds it from there."""
+    n = weighted.count() if count is None else count
+    return compact(weighted, n).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def lloyd_step(points: DataFrame, means: Sequence[Point]) -> list[Point]:
@@ -162,17 +166,18 @@ def lloyd_step(points: DataFrame, means: Sequence[Point]) -> list[Point]:
 
 def kmeans(points: DataFrame, initial: Sequence[Point],
            params: ClusterParams = DEFAULT_PARAMS,
-           materialize_input: bool = True) -> KMeansResult:
+           materialize_input: bool = True, point_count: int | None = None) -> KMeansResult:
     """Run Lloyd iterations from ``initial`` until the shift is below eta.
 
     ``points`` are vectors or weighted points.  Unless the caller has
     already written them (``materialize_input=False``), they are merged and
-    written once to the checkpoint folder before the loop.
+    written once to the checkpoint folder before the loop.  ``point_count``
+    is the number of weighted points when the caller knows it.
     """
     if len(initial) == 0:
         raise ValueError("k-means needs at least one initial center")
     written = materialize(ensure_weighted(points), "weighted-points") if materialize_input else None
-    weighted = loop_input(written.frame if written else ensure_weighted(points))
+    weighted = loop_input(written.frame if written else ensure_weighted(points), point_count)
     try:
         means = [(int(x), int(y)) for x, y in initial]
         trace: list[tuple] = []

@@ -151,7 +151,7 @@ def kmeans_centers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cluster_language_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = _clustered(spark, sf_dir)
-    return cluster_language_counts(outcome.points.weighted, outcome.centers, DEFAULT_PARAMS)
+    return cluster_language_counts(outcome.points.compact_weighted, outcome.centers, DEFAULT_PARAMS)
 
 
 def cluster_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +164,7 @@ def cluster_summary_initial_query(spark: SparkSession, sf_dir: str) -> DataFrame
     points = prepare_points(_postings(spark, sf_dir), DEFAULT_PARAMS)
     start = initial_centers(points.vectors, DEFAULT_PARAMS)
     points.discard_vectors()
-    return cluster_summary(points.weighted, start, DEFAULT_PARAMS)
+    return cluster_summary(points.compact_weighted, start, DEFAULT_PARAMS)
 
 
 def cluster_summary_mixed_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from postcluster.functions.geometry import Point
-from postcluster.operators.kmeans import KMeansResult, kmeans
+from postcluster.operators.kmeans import KMeansResult, compact, kmeans
 from postcluster.operators.pairing import posting_reduction, scored_from_reduction
 from postcluster.operators.sampling import initial_centers
 from postcluster.operators.summary import cluster_summary, print_report, report_lines
@@ -38,6 +38,12 @@ from postcluster.sources.text import parse_postings, read_posting_lines
 class PreparedPoints:
     vectors_table: Written   # id, x, y
     weighted_table: Written  # x, y, n
+    point_count: int         # rows of the weighted table
+
+    @property
+    def compact_weighted(self) -> DataFrame:
+        """The weighted points in one partition when their count allows."""
+        return compact(self.weighted, self.point_count)
 
     @property
     def vectors(self) -> DataFrame:
@@ -80,7 +86,7 @@ def prepare_points(postings: DataFrame, params: ClusterParams = DEFAULT_PARAMS)
     vectors = materialize(label_vectors(scored_from_reduction(reduced.frame), params), "vectors")
     reduced.discard()
     weighted = materialize(weighted_points(vectors.frame), "weighted-points")
-    return PreparedPoints(vectors, weighted)
+    return PreparedPoints(vectors, weighted, weighted.frame.count())
 
 
 def cluster_points(points: PreparedPoints, params: ClusterParams = DEFAULT_PARAMS,
@@ -94,8 +100,9 @@ def cluster_points(points: PreparedPoints, params: ClusterParams = DEFAULT_PARAM
     start = initial_centers(points.vectors, params)
     if not keep_vectors:
         points.discard_vectors()
-    result = kmeans(points.weighted, start, params, materialize_input=False)
-    summary = cluster_summary(points.weighted, result.centers, params, exact_percent)
+    result = kmeans(points.weighted, start, params, materialize_input=False,
+                    point_count=points.point_count)
+    summary = cluster_summary(points.compact_weighted, result.centers, params, exact_percent)
     return ClusteringOutcome(points, result, summary)
 
 
