@@ -82,7 +82,9 @@ def prepare_points(postings: DataFrame, params: ClusterParams = DEFAULT_PARAMS)
     The per-question reduction is deleted as soon as the vectors are
     written: nothing reads it afterwards.
     """
-    reduced = materialize(posting_reduction(postings), "posting-reduction")
+    # Split by role on disk: each half of the join reads only its directory.
+    reduced = materialize(posting_reduction(postings), "posting-reduction",
+                          partition_by=("is_question",))
     vectors = materialize(label_vectors(scored_from_reduction(reduced.frame), params), "vectors")
     reduced.discard()
     weighted = materialize(weighted_points(vectors.frame), "weighted-points")

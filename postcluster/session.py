@@ -82,13 +82,15 @@ class Written:
         self.path = None
 
 
-def materialize(df: DataFrame, name: str) -> Written:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Written:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     The returned frame's lineage starts at the written files, so a lost
     executor re-reads them instead of re-running the scan, join and
-    aggregation that produced them.  Without a configured folder it falls
-    back to ``persist`` (recomputed from lineage on loss).
+    aggregation that produced them.  ``partition_by`` lays the files out in
+    directories by those columns, so a reader filtering on them lists and
+    reads only the matching directories.  Without a configured folder it
+    falls back to ``persist`` (recomputed from lineage on loss).
     """
     spark = df.sparkSession
     root = checkpoint_root(spark)
@@ -96,9 +98,10 @@ def materialize(df: DataFrame, name: str) -> Written:
         log.warning("spark.checkpoint.dir is unset; %s is cached, not written", name)
         return Written(df.persist(StorageLevel.MEMORY_AND_DISK), None)
     path = f"{root.rstrip('/')}/postcluster/{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").partitionBy(*partition_by).parquet(path)
     # The schema is known: no footer-reading job to infer it again.
-    return Written(spark.read.schema(df.schema).parquet(path), path)
+    frame = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return Written(frame, path)
 
 
 def write_lines(lines: DataFrame, name: str) -> str | None:
