@@ -34,3 +34,19 @@ def test_clustering_keeps_only_what_the_summary_reads(spark):
     assert outcome.summary.count() > 0
     outcome.discard()
     assert not os.path.exists(_local(weighted_path))
+
+
+def test_without_checkpoint_dir_the_job_falls_back_to_persist(spark, monkeypatch):
+    import postcluster.session as session
+    from postcluster.plans.catalog import QUERIES
+
+    durable = sorted(tuple(r) for r in QUERIES["cluster_summary"](spark, SF_SMALL).collect())
+    monkeypatch.setattr(session, "checkpoint_root", lambda _spark: None)
+    written = session.materialize(spark.range(5), "probe")
+    assert not written.durable and written.frame.is_cached
+    written.discard()
+    assert not written.frame.is_cached
+    fallback = sorted(tuple(r) for r in QUERIES["cluster_summary"](spark, SF_SMALL).collect())
+    assert fallback == durable and len(fallback) > 0
+    text_rows = QUERIES["raw_posting_count"](spark, SF_SMALL).collect()
+    assert {r["what"]: r["row_count"] for r in text_rows}["lines"] > 0
