@@ -96,7 +96,9 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     root = checkpoint_root(spark)
     if not root:
         log.warning("spark.checkpoint.dir is unset; %s is cached, not written", name)
-        return Written(df.persist(StorageLevel.MEMORY_AND_DISK), None)
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.count()  # fill it now, as the write would, before inputs are released
+        return Written(cached, None)
     path = f"{root.rstrip('/')}/postcluster/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").partitionBy(*partition_by).parquet(path)
     # The schema is known: no footer-reading job to infer it again.
