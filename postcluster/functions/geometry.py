@@ -70,8 +70,14 @@ def with_nearest_center(df: DataFrame, centers: Sequence[Point], x: str = "x", y
             f"array_min(transform(array({table}), c -> named_struct("
             f"'d', ({xd} - c.cx) * ({xd} - c.cx) + ({yd} - c.cy) * ({yd} - c.cy), 'i', c.i)))"
         )
+        # ``coalesce(.., 0)`` makes ``cluster`` non-nullable (it is null only
+        # for a null point).  Otherwise a join on it makes Catalyst infer
+        # ``isnotnull(cluster)`` and, since ``cluster`` depends only on x and
+        # y, push that filter below the point merge into the scan, running
+        # the lambda on every raw vector instead of on the merged points.
         return df.selectExpr(*keep, f"{best} AS __best").selectExpr(
-            *keep, f"cast(__best.i as int) AS {_quote(cluster)}", f"__best.d AS {_quote(distance)}"
+            *keep, f"coalesce(cast(__best.i as int), 0) AS {_quote(cluster)}",
+            f"__best.d AS {_quote(distance)}",
         )
     names = [f"__dist{i}" for i in range(len(centers))]
     dists = [

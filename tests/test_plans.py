@@ -27,6 +27,16 @@ def test_no_cross_join_or_python(spark, name):
         assert node not in text, f"{name} plans {node}"
 
 
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_center_assignment_never_runs_in_a_filter(spark, name):
+    """An inferred not-null filter on the cluster index would be pushed
+    below the point merge and evaluate the assignment on every raw row."""
+    text = plan(catalog.QUERIES[name](spark, SF_SMALL), "simple")
+    for line in text.splitlines():
+        if "Filter " in line or "DataFilters" in line:
+            assert "transform(" not in line and "__dist" not in line, f"{name}: {line[:200]}"
+
+
 def test_scored_prunes_columns_and_aggregates_before_shuffle(spark):
     text = plan(catalog.scored_query(spark, SF_SMALL))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", text)
