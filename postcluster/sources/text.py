@@ -57,19 +57,25 @@ def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
     has six or more fields after trailing empty ones are dropped, else null.
     Fields past the sixth are ignored.
     """
-    fields = split_fields(F.col(column))
     checked = lines.where(
         F.when(_line_is_valid(F.col(column)), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("malformed posting line: "), F.col(column)))
         )
     )
-    return checked.select(
-        field(fields, 0).cast("int").alias("posting_type"),
-        field(fields, 1).cast("int").alias("id"),
-        empty_to_null(field(fields, 2)).cast("int").alias("accepted_answer"),
-        empty_to_null(field(fields, 3)).cast("int").alias("parent_id"),
-        field(fields, 4).cast("int").alias("score"),
-        field(fields, 5).alias("tags"),
+    # The fields come out of a one-element ``explode``, so they are computed
+    # once per line: a later filter on a parsed column (say the posting type)
+    # cannot be pushed below the ``Generate`` that produces them.  Without it
+    # Catalyst inlined ``split`` into every pushed-down filter, which gets no
+    # common subexpression elimination, and parsing ran ~4x slower.
+    fields = checked.select(F.explode(F.array(split_fields(F.col(column)))).alias("fields"))
+    f = F.col("fields")
+    return fields.select(
+        field(f, 0).cast("int").alias("posting_type"),
+        field(f, 1).cast("int").alias("id"),
+        empty_to_null(field(f, 2)).cast("int").alias("accepted_answer"),
+        empty_to_null(field(f, 3)).cast("int").alias("parent_id"),
+        field(f, 4).cast("int").alias("score"),
+        field(f, 5).alias("tags"),
     )
 
 
