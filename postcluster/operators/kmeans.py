@@ -1,12 +1,16 @@
 """k-means over integer 2-D points (Lloyd iterations).
 
 Plan per iteration: the k centers are literals in a projection
-(``with_nearest_center``), followed by a partial + final ``sum`` per cluster.
-Only the k aggregate rows come back to the driver, which fills empty
-clusters with their old center, sums the shift and decides whether to go
-on.  The points are first merged into weighted points and written once to
-the shared checkpoint folder, so every iteration scans that small table
-and a lost executor does not re-run the upstream join.
+(``with_nearest_center``), followed by a ``sum`` per cluster.  Only the k
+aggregate rows come back to the driver, which fills empty clusters with
+their old center, sums the shift and decides whether to go on.
+
+The points are first merged into weighted points (one row per distinct
+``(x, y)``, bounded by languages times distinct scores) and written once to
+the shared checkpoint folder, so a lost executor re-reads that file rather
+than re-running the upstream join.  The loop reads them counted, cached
+and, up to ``SINGLE_TASK_POINTS``, in one partition, which makes each
+iteration a single-stage job with no shuffle.
 
 Semantics (the contract of the original job, with its defects fixed):
 

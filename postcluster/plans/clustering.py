@@ -5,16 +5,19 @@ answer score per question -> 2-D vectors -> sample -> k-means -> per-cluster
 summary.  Three tables are written once to the shared checkpoint folder:
 
 * the per-question reduction of the postings (one row per distinct question
-  and per answered id): the input is scanned and parsed once, and both
-  sides of the question/answer join read this much smaller table;
+  and per answered id), partitioned by role: the input is scanned and
+  parsed once, and each side of the question/answer join reads only its
+  own part of this much smaller table;
 * the vectors (``id, x, y``, 12 bytes a row): the sample and the point
   compression both read them, so the upstream scan and join run once;
 * the weighted points (one row per distinct ``(x, y)``): every k-means
   iteration and the summary read them.
 
 These writes cut the lineage, so a lost executor re-reads a file instead of
-re-running the join.  The summary that comes back is a lazy DataFrame over
-the weighted points; only the k centers ever reach the driver.
+re-running the join.  Each is deleted once nothing reads it (the reduction
+after the vectors are written, the vectors after the sample).  The summary
+that comes back is a lazy DataFrame over the weighted points; only the k
+centers ever reach the driver.
 """
 
 from __future__ import annotations
