@@ -25,8 +25,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postcluster.functions.geometry import Point
+from postcluster.functions.language import first_language_index
 from postcluster.operators.kmeans import KMeansResult, compact, kmeans
 from postcluster.operators.pairing import posting_reduction, scored_from_reduction
 from postcluster.operators.sampling import initial_centers
@@ -85,8 +87,13 @@ def prepare_points(postings: DataFrame, params: ClusterParams = DEFAULT_PARAMS)
     The per-question reduction is deleted as soon as the vectors are
     written: nothing reads it afterwards.
     """
+    # Questions without a listed language never become vectors: drop them
+    # before the reduction's shuffle (the written table would stop Catalyst
+    # from pushing the later language filter down this far).
+    known = first_language_index(F.col("tags"), params.langs).isNotNull()
+    clusterable = postings.where((F.col("posting_type") != F.lit(1)) | known)
     # Split by role on disk: each half of the join reads only its directory.
-    reduced = materialize(posting_reduction(postings), "posting-reduction",
+    reduced = materialize(posting_reduction(clusterable), "posting-reduction",
                           partition_by=("is_question",))
     vectors = materialize(label_vectors(scored_from_reduction(reduced.frame), params), "vectors")
     reduced.discard()

@@ -50,3 +50,23 @@ def test_without_checkpoint_dir_the_job_falls_back_to_persist(spark, monkeypatch
     assert fallback == durable and len(fallback) > 0
     text_rows = QUERIES["raw_posting_count"](spark, SF_SMALL).collect()
     assert {r["what"]: r["row_count"] for r in text_rows}["lines"] > 0
+
+
+def test_prepared_vectors_equal_the_lazy_plan(postings_df):
+    from postcluster.operators.pairing import scored_postings
+    from postcluster.operators.vectors import label_vectors
+    from postcluster.plans.clustering import prepare_points
+
+    rows = [
+        (1, 1, None, None, 3, "Java"), (1, 2, None, None, 4, "COBOL"), (1, 3, None, None, 5, None),
+        (1, 4, None, None, 6, "java"), (1, 1, None, None, 3, "Java"), (1, 5, 9, None, 1, "Scala"),
+        (2, 10, None, 1, 7, None), (2, 11, None, 2, 8, None), (2, 12, None, 3, 9, None),
+        (2, 13, None, 4, -1, None), (2, 14, None, 5, 2, None), (2, 15, None, 5, 6, None),
+        (3, 16, None, 5, 99, None),
+    ]
+    df = postings_df(rows)
+    points = prepare_points(df)
+    got = sorted(tuple(r) for r in points.vectors.collect())
+    assert got == sorted(tuple(r) for r in label_vectors(scored_postings(df)).collect())
+    assert got == [(1, 50000, 7), (5, 500000, 6)]
+    points.discard()
