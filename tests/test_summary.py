@@ -45,3 +45,18 @@ def test_report_lines(spark):
     assert lines[:3] == list(REPORT_HEADER)
     assert lines[3] == "      1  Java              (100.0%)            1"
     assert lines[4] == "      6  CSS               (100.0%)            2"
+
+
+def test_write_report_round_trip(spark, tmp_path):
+    from postcluster.operators.summary import write_report
+
+    v = spark.createDataFrame([(350000, 5), (350000, 7), (50000, 1)], "x int, y int")
+    lines = report_lines(cluster_summary(v, [(50000, 0), (350000, 0)], P))
+    out = tmp_path / "report"
+    write_report(lines, str(out))
+    files = sorted(out.glob("part-*"))
+    assert len(files) == 1
+    assert files[0].read_text().splitlines() == list(REPORT_HEADER) + [
+        "      1  Java              (100.0%)            1",
+        "      6  CSS               (100.0%)            2",
+    ]
