@@ -70,3 +70,8 @@ class ClusterParams:
 
 
 DEFAULT_PARAMS = ClusterParams()
+
+# Spread 1 puts all languages next to each other on x, so clusters mix
+# languages, and (spread < 500) the sample ignores languages.  Used by the
+# mixed-cluster queries.
+MIXED_PARAMS = ClusterParams(spread=1)

@@ -26,7 +26,7 @@ from postcluster.operators.postings import answers, questions
 from postcluster.operators.sampling import global_sample, initial_centers, stratified_sample
 from postcluster.operators.summary import cluster_language_counts, cluster_summary, report_lines
 from postcluster.operators.vectors import label_vectors, weighted_points, with_language_index
-from postcluster.params import DEFAULT_PARAMS, ClusterParams
+from postcluster.params import DEFAULT_PARAMS, MIXED_PARAMS, ClusterParams
 from postcluster.plans.clustering import cluster_lines, cluster_points, prepare_points
 from postcluster.session import materialize
 from postcluster.sources.tables import posting_text_from_tables, postings_from_tables
@@ -34,10 +34,6 @@ from postcluster.sources.text import parse_postings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Spread 1 puts all languages next to each other on x, so clusters mix
-# languages, and (spread < 500) the sample ignores languages.
-MIXED_PARAMS = ClusterParams(spread=1)
-
 
 def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings_from_tables(spark, sf_dir)

@@ -15,13 +15,12 @@ from __future__ import annotations
 from postcluster.params import (
     DEFAULT_PARAMS,
     LANGUAGES,
+    MIXED_PARAMS,
     REPORT_HEADER,
     REPORT_LINE_FORMAT,
     ClusterParams,
 )
 
-MIXED_PARAMS = ClusterParams(spread=1)
-
 
 def _quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
