@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 # trims blanks (' 5' becomes 5), so the pattern is checked as well.
 _INT_PATTERN = r"^[+-]?[0-9]+\z"
 _INT = r"[+-]?[0-9]+"
+_SHORT_INT = r"[+-]?[0-9]{1,9}"  # always within the 32-bit range
 # A whole posting line: int, int, optional int, optional int, int, then
 # anything (tags and ignored fields; trailing empty fields are dropped).
 LINE_PATTERN = rf"(?s)^{_INT},{_INT},(?:{_INT})?,(?:{_INT})?,{_INT}(?:,.*)?\z"
-# One of the first five fields holds a number of 10 or more digits, which
-# may overflow an int and needs the exact check.
-LONG_NUMBER_PATTERN = r"^(?:[^,]*,){0,4}[+-]?[0-9]{10,}(?:,|\z)"
+# The same layout with numbers of at most 9 digits: valid without any
+# further check.  Only a line that fails it needs the exact range check.
+SHORT_LINE_PATTERN = (
+    rf"(?s)^{_SHORT_INT},{_SHORT_INT},(?:{_SHORT_INT})?,(?:{_SHORT_INT})?,{_SHORT_INT}(?:,.*)?\z"
+)
 
 
 def split_fields(line: Column) -> Column:

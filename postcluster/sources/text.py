@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from postcluster.functions.parsing import (
     LINE_PATTERN,
-    LONG_NUMBER_PATTERN,
+    SHORT_LINE_PATTERN,
     empty_to_null,
     field,
     is_optional_int,
@@ -32,11 +32,12 @@ def read_posting_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _line_is_valid(line: Column) -> Column:
-    """One anchored regex checks the layout; only a line with a 10+ digit
-    number in its first five fields pays for splitting and the exact int
-    range check (``AND``/``OR`` short-circuit).  A filter gets no common
-    subexpression elimination, so checking field by field would split the
-    line once per test."""
+    """One anchored regex accepts a line whose numbers have at most 9 digits
+    (always within range).  Only a line that fails it is checked with the
+    general layout regex plus splitting and the exact int range check
+    (``OR``/``AND`` short-circuit).  A filter gets no common subexpression
+    elimination, so checking field by field on every line would split it
+    once per test."""
     fields = split_fields(line)
     in_range = (
         is_strict_int(field(fields, 0))
@@ -45,7 +46,7 @@ def _line_is_valid(line: Column) -> Column:
         & is_optional_int(field(fields, 3))
         & is_strict_int(field(fields, 4))
     )
-    return line.rlike(LINE_PATTERN) & (~line.rlike(LONG_NUMBER_PATTERN) | in_range)
+    return line.rlike(SHORT_LINE_PATTERN) | (line.rlike(LINE_PATTERN) & in_range)
 
 
 def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
