@@ -13,6 +13,7 @@ from postcluster.functions.parsing import (
     is_optional_int,
     is_strict_int,
     split_fields,
+    tags_field,
 )
 
 __all__ = [
@@ -27,5 +28,6 @@ __all__ = [
     "split_fields",
     "squared_distance",
     "squared_distance_py",
+    "tags_field",
     "with_nearest_center",
 ]

@@ -25,12 +25,22 @@ SHORT_LINE_PATTERN = (
 
 
 def split_fields(line: Column) -> Column:
-    """Split on ',' and drop trailing empty fields, like Java's ``String.split``.
+    """Split on ',' keeping every field, trailing empty ones included.
 
-    Spark's ``split`` keeps trailing empties, so they are stripped first.
-    Interior empty fields are kept.
+    Java's ``String.split`` drops trailing empty fields.  For a valid line
+    that only matters for the optional sixth field (the fifth is a
+    non-empty int), and :func:`tags_field` applies that rule, so no regex
+    pass is needed to strip the trailing commas.
     """
-    return F.split(F.regexp_replace(line, ",+\\z", ""), ",", -1)
+    return F.split(line, ",", -1)
+
+
+def tags_field(fields: Column) -> Column:
+    """Field 5 when the line has six or more fields after trailing empty
+    ones are dropped, i.e. when some field from index 5 on is non-empty;
+    else null.  (``1,9,,,5,,x`` gives '' and ``1,8,,,5,`` gives null.)"""
+    rest = F.concat_ws("", F.slice(fields, 6, F.greatest(F.size(fields), F.lit(1))))
+    return F.when(rest != F.lit(""), field(fields, 5))
 
 
 def field(fields: Column, i: int) -> Column:

@@ -18,6 +18,7 @@ from postcluster.functions.parsing import (
     is_optional_int,
     is_strict_int,
     split_fields,
+    tags_field,
 )
 
 POSTING_COLUMNS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tags")
@@ -76,7 +77,7 @@ def parse_postings(lines: DataFrame, column: str = "value") -> DataFrame:
         empty_to_null(field(f, 2)).cast("int").alias("accepted_answer"),
         empty_to_null(field(f, 3)).cast("int").alias("parent_id"),
         field(f, 4).cast("int").alias("score"),
-        field(f, 5).alias("tags"),
+        tags_field(f).alias("tags"),
     )
 
 
