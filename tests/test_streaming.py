@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from postcluster.sources.text import parse_postings
+from postcluster.streaming import read_posting_stream
 
 
 def test_parse_postings_on_a_stream(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     (src / "a.csv").write_text("1,6,,,140,CSS\n2,7,,6,-67\n1,8,,,5,\n")
-    stream = parse_postings(spark.readStream.text(str(src)))
+    stream = read_posting_stream(spark, str(src))
     assert stream.isStreaming
     query = (stream.writeStream.format("memory").queryName("parsed_postings_stream")
              .option("checkpointLocation", str(tmp_path / "ckpt"))
