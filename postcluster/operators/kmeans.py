@@ -181,6 +181,8 @@ def kmeans(points: DataFrame, initial: Sequence[Point],
     if len(initial) == 0:
         raise ValueError("k-means needs at least one initial center")
     written = materialize(ensure_weighted(points), "weighted-points") if materialize_input else None
+    if written is not None and point_count is None:
+        point_count = written.rows
     weighted = loop_input(written.frame if written else ensure_weighted(points), point_count)
     try:
         means = [(int(x), int(y)) for x, y in initial]

@@ -98,7 +98,7 @@ def prepare_points(postings: DataFrame, params: ClusterParams = DEFAULT_PARAMS)
     vectors = materialize(label_vectors(scored_from_reduction(reduced.frame), params), "vectors")
     reduced.discard()
     weighted = materialize(weighted_points(vectors.frame), "weighted-points")
-    return PreparedPoints(vectors, weighted, weighted.frame.count())
+    return PreparedPoints(vectors, weighted, weighted.rows)
 
 
 def cluster_points(points: PreparedPoints, params: ClusterParams = DEFAULT_PARAMS,

@@ -16,7 +16,8 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
@@ -65,6 +66,7 @@ class Written:
 
     frame: DataFrame
     path: str | None
+    rows: int  # counted while writing, no separate job
 
     @property
     def durable(self) -> bool:
@@ -97,13 +99,16 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     if not root:
         log.warning("spark.checkpoint.dir is unset; %s is cached, not written", name)
         cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.count()  # fill it now, as the write would, before inputs are released
-        return Written(cached, None)
+        rows = cached.count()  # fill it now, as the write would, before inputs are released
+        return Written(cached, None, rows)
     path = f"{root.rstrip('/')}/postcluster/{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").partitionBy(*partition_by).parquet(path)
+    # The row count is observed during the write itself.
+    counted = Observation(f"{name}-rows")
+    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    observed.write.mode("error").partitionBy(*partition_by).parquet(path)
     # The schema is known: no footer-reading job to infer it again.
     frame = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-    return Written(frame, path)
+    return Written(frame, path, int(counted.get["rows"]))
 
 
 def write_lines(lines: DataFrame, name: str) -> str | None:

@@ -18,7 +18,7 @@ def test_materialize_writes_under_checkpoint_dir_and_discards(spark):
     written = materialize(spark.range(10), "probe")
     assert written.durable
     assert written.path.startswith(checkpoint_root(spark).rstrip("/"))
-    assert written.frame.count() == 10
+    assert written.frame.count() == written.rows == 10
     path = written.path
     assert os.path.exists(_local(path))
     written.discard()
@@ -43,7 +43,7 @@ def test_without_checkpoint_dir_the_job_falls_back_to_persist(spark, monkeypatch
     durable = sorted(tuple(r) for r in QUERIES["cluster_summary"](spark, SF_SMALL).collect())
     monkeypatch.setattr(session, "checkpoint_root", lambda _spark: None)
     written = session.materialize(spark.range(5), "probe")
-    assert not written.durable and written.frame.is_cached
+    assert not written.durable and written.frame.is_cached and written.rows == 5
     written.discard()
     assert not written.frame.is_cached
     fallback = sorted(tuple(r) for r in QUERIES["cluster_summary"](spark, SF_SMALL).collect())
