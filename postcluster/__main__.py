@@ -1,4 +1,4 @@
-"""``python -m postcluster <posting files>``: cluster the postings and print the report."""
+"""``python -m postcluster [--debug] <posting files>``: cluster the postings and print the report."""
 
 from __future__ import annotations
 
@@ -9,12 +9,14 @@ from postcluster.session import local_session
 
 
 def main(argv: list[str]) -> int:
-    if len(argv) != 1:
-        print("usage: python -m postcluster <posting text path>", file=sys.stderr)
+    debug = "--debug" in argv
+    paths = [a for a in argv if a != "--debug"]
+    if len(paths) != 1:
+        print("usage: python -m postcluster [--debug] <posting text path>", file=sys.stderr)
         return 2
     spark = local_session()
     try:
-        run(spark, argv[0])
+        run(spark, paths[0], debug=debug)
     finally:
         spark.stop()
     return 0

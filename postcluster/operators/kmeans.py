@@ -134,6 +134,22 @@ class KMeansResult:
     def trace_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.trace, TRACE_SCHEMA)
 
+    def print_trace(self, eta: float = DEFAULT_PARAMS.eta) -> None:
+        """Print each pass: its total shift against ``eta``, then every
+        center's move (the trace is already on the driver, k rows a pass)."""
+        passes: dict[int, list[tuple]] = {}
+        for row in self.trace:
+            passes.setdefault(row[0], []).append(row)
+        for iteration, rows in sorted(passes.items()):
+            print(f"Iteration: {iteration}")
+            print(f"  * current distance: {rows[0][7]}")
+            print(f"  * desired distance: {eta}")
+            print("  * means:")
+            for _, _, ox, oy, nx, ny, moved, _, _ in rows:
+                print(f"   {f'({ox},{oy})':>20} ==> {f'({nx},{ny})':>20}    distance: {moved:8.0f}")
+        if not self.converged:
+            print("Reached max iterations!")
+
 
 # Up to this many distinct points, the iterations run as one in-memory task.
 SINGLE_TASK_POINTS = 2_000_000

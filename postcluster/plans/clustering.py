@@ -130,8 +130,12 @@ def cluster_lines(lines: DataFrame, params: ClusterParams = DEFAULT_PARAMS,
     return cluster_postings(parse_postings(lines), params, exact_percent)
 
 
-def run(spark: SparkSession, path: str, params: ClusterParams = DEFAULT_PARAMS) -> ClusteringOutcome:
-    """Read posting files at ``path``, cluster them and print the report."""
+def run(spark: SparkSession, path: str, params: ClusterParams = DEFAULT_PARAMS,
+        debug: bool = False) -> ClusteringOutcome:
+    """Read posting files at ``path``, cluster them and print the report
+    (with ``debug``, print every k-means pass first)."""
     outcome = cluster_lines(read_posting_lines(spark, path), params)
+    if debug:
+        outcome.kmeans.print_trace(params.eta)
     print_report(report_lines(outcome.summary))
     return outcome

@@ -89,3 +89,15 @@ def test_center_shift_totals(spark):
     df = points(spark, [(0, 0), (0, 4)])
     rows = sorted(tuple(r) for r in center_shift(df, [(0, 0), (0, 10)], eta=20.0).collect())
     assert rows == [(0, 0, 0, 0, 2, 4.0, 4.0, True), (1, 0, 10, 0, 10, 0.0, 4.0, True)]
+
+
+def test_print_trace(spark, capsys):
+    df = points(spark, [(0, 0), (0, 2), (0, 100), (0, 104)])
+    res = kmeans(df, [(0, 0), (0, 1)], ClusterParams(eta=1.0, kernels=2, langs=("A", "B")))
+    res.print_trace(1.0)
+    out = capsys.readouterr().out.splitlines()
+    assert out[0] == "Iteration: 1"
+    assert out[1] == "  * current distance: 4489.0"
+    assert out[4] == "   " + "(0,0)".rjust(20) + " ==> " + "(0,0)".rjust(20) + "    distance: " + "0".rjust(8)
+    assert sum(line.startswith("Iteration:") for line in out) == 3
+    assert "Reached max iterations!" not in out
