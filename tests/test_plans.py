@@ -117,3 +117,13 @@ def test_hot_question_id_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_reduction_scans_posting_text_once(spark, lines_file):
+    from postcluster.operators.pairing import posting_reduction
+    from postcluster.sources.text import read_postings
+
+    path = lines_file(["1,6,,,140,CSS", "2,7,,6,-67", "2,8,,6,3"])
+    tree = plan(posting_reduction(read_postings(spark, path))).split("\n\n")[0]
+    assert tree.count("Scan text") == 1
+    assert tree.count("Generate") == 1  # fields split once, below every later filter
