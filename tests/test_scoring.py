@@ -88,3 +88,19 @@ def test_orphans_and_unanswered_drop_out(postings_df):
 def test_negative_best_score(postings_df):
     rows = [(1, 1, None, None, 3, "Java"), (2, 10, None, 1, -4, None), (2, 11, None, 1, -9, None)]
     assert scored_postings(postings_df(rows)).first()["high_score"] == -4
+
+
+def test_grouped_posting_count_edges(postings_df):
+    rows = [
+        (1, 1, None, None, 3, "Java"), (1, 1, None, None, 4, "Java"),  # duplicate id, answered
+        (1, 2, None, None, 3, "Java"),                                  # unanswered
+        (3, 3, None, None, 0, None), (2, 30, None, 3, 1, None),         # answer to a non-question
+        (2, 10, None, 1, 5, None), (2, 11, None, 1, 6, None),
+        (2, 12, None, 99, 6, None),                                     # orphan answer
+        (2, 13, None, None, 6, None),                                   # answer without parent
+    ]
+    df = postings_df(rows)
+    assert grouped_posting_count(df).first()["groups"] == 1
+    g = [tuple(r) for r in grouped_postings(df).collect()]
+    assert g == [(1, 2, 2, 4, 10, 11, 6)]
+    assert question_answer_pairs(df).count() == 4
