@@ -37,3 +37,15 @@ def test_weighted_points_are_exact(spark):
     v = spark.createDataFrame([(1, 0, 5), (2, 0, 5), (3, 0, 6), (4, 50000, 5)], "id int, x int, y int")
     got = sorted(tuple(r) for r in weighted_points(v).collect())
     assert got == [(0, 5, 2), (0, 6, 1), (50000, 5, 1)]
+
+
+def test_first_listed_language_wins(spark):
+    from postcluster.functions.language import first_language_index, language_label
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("B",), ("A",), ("C",)], "tags string")
+    got = [r[0] for r in df.select(first_language_index(F.col("tags"), ("A", "B", "A"))).collect()]
+    assert got == [1, 0, None]
+    labels = spark.createDataFrame([(0,), (7,), (14,)], "x int").select(
+        language_label(F.col("x"), ("a", "b", "c"), 7)).collect()
+    assert [r[0] for r in labels] == ["a", "b", "c"]
