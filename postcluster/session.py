@@ -52,7 +52,10 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
+        return None
 
 
 @dataclass
@@ -77,10 +80,14 @@ class Written:
             self.frame.unpersist()
             return
         spark = self.frame.sparkSession
-        jvm = spark.sparkContext._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(hadoop_path, True)
+        try:
+            jvm = spark.sparkContext._jvm
+            hadoop_path = jvm.org.apache.hadoop.fs.Path(self.path)
+            fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs.delete(hadoop_path, True)
+        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the files
+            log.warning("could not delete %s; it stays in the checkpoint folder", self.path)
+            return
         self.path = None
 
 
