@@ -127,15 +127,45 @@ def posting_reduction(postings: DataFrame) -> DataFrame:
     )
 
 
-def scored_from_reduction(reduced: DataFrame) -> DataFrame:
-    """Join the question half of a :func:`posting_reduction` with its answer half."""
+# Salt values for the question/answer join when AQE cannot split skew.
+JOIN_SALTS = 8
+
+
+def _aqe_splits_skew(spark) -> bool:
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
+def scored_from_reduction(reduced: DataFrame, salts: int | None = None) -> DataFrame:
+    """Join the question half of a :func:`posting_reduction` with its answer half.
+
+    The answer half has one row per question id; the question half can hold
+    many distinct postings for one id.  With AQE's skew join on (the
+    default) a hot id is split at run time.  Without it (or with ``salts``
+    given) the join is salted: each question row gets a salt from a hash of
+    its columns, and each best-score row is repeated once per salt value, so
+    a hot id spreads over ``salts`` tasks and every question row still meets
+    exactly one copy of its best score.
+    """
     qs = reduced.where(F.col("is_question")).select(
         "question_id", "q_accepted_answer", "q_parent_id", "q_score", "q_tags"
     )
     best = reduced.where(~F.col("is_question")).select(
         F.col("question_id").alias("answered_id"), "high_score"
     )
-    joined = qs.join(best, qs["question_id"] == best["answered_id"], "inner")
+    if salts is None and not _aqe_splits_skew(reduced.sparkSession):
+        salts = JOIN_SALTS
+    if salts:
+        salt_of = F.pmod(
+            F.xxhash64("q_accepted_answer", "q_parent_id", "q_score", "q_tags"), F.lit(salts)
+        )
+        qs = qs.withColumn("salt", salt_of)
+        best = best.withColumn("answer_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        condition = (qs["question_id"] == best["answered_id"]) & (qs["salt"] == best["answer_salt"])
+    else:
+        condition = qs["question_id"] == best["answered_id"]
+    joined = qs.join(best, condition, "inner")
     return joined.select(
         F.lit(1).alias("posting_type"),
         F.col("question_id").alias("id"),

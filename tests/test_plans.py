@@ -127,3 +127,24 @@ def test_reduction_scans_posting_text_once(spark, lines_file):
     tree = plan(posting_reduction(read_postings(spark, path))).split("\n\n")[0]
     assert tree.count("Scan text") == 1
     assert tree.count("Generate") == 1  # fields split once, below every later filter
+
+
+def test_salted_join_when_aqe_cannot_split(spark, postings_df):
+    """With AQE's skew join off, the scoring join is salted; results are unchanged."""
+    from postcluster.operators.pairing import posting_reduction, scored_from_reduction
+
+    rows = [(1, 7, None, None, s, "Java") for s in range(40)] + [
+        (1, 8, None, None, 1, "Scala"), (2, 100, None, 7, 5, None), (2, 101, None, 7, 9, None),
+        (2, 102, None, 8, -3, None)]
+    reduced = posting_reduction(postings_df(rows))
+    plain = sorted(tuple(r) for r in scored_from_reduction(reduced, salts=0).collect())
+    saved = spark.conf.get("spark.sql.adaptive.skewJoin.enabled", None)
+    try:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+        salted_df = scored_from_reduction(reduced)
+        salted = sorted(tuple(r) for r in salted_df.collect())
+        assert "salt" in plan(salted_df, "simple")
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", saved or "true")
+    assert salted == plain and len(plain) == 41
+    assert {r[-1] for r in plain if r[1] == 7} == {9}
