@@ -19,18 +19,41 @@ def _prefixed(prefix: str) -> list:
     return [F.col(c).alias(f"{prefix}{c}") for c in POSTING_COLUMNS]
 
 
-def question_answer_pairs(postings: DataFrame) -> DataFrame:
+# Salt values for the question/answer join when AQE cannot split skew.
+JOIN_SALTS = 8
+
+
+def _aqe_splits_skew(spark) -> bool:
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
+def question_answer_pairs(postings: DataFrame, salts: int | None = None) -> DataFrame:
     """Inner equi-join ``question.id = answer.parent_id``.
 
     Unanswered questions and orphan answers drop out; duplicate question
     ids multiply.  Output: ``question_id`` plus the question's columns
     prefixed ``q_`` and the answer's prefixed ``a_``.  Catalyst picks the
-    join strategy; with AQE a skewed question id is split at run time.
+    join strategy; with AQE a question holding many answers is split at run
+    time.  Without AQE's skew join (or with ``salts`` given) each answer
+    gets a salt from a hash of its columns and the question rows are
+    repeated once per salt value, so such a question spreads over
+    ``salts`` tasks.
     """
     q = questions(postings).select(*_prefixed("q_"))
     a = answers(postings).select(*_prefixed("a_"))
-    pairs = q.join(a, q["q_id"] == a["a_parent_id"], "inner")
-    return pairs.select(F.col("q_id").alias("question_id"), *[c for c in pairs.columns])
+    if salts is None and not _aqe_splits_skew(postings.sparkSession):
+        salts = JOIN_SALTS
+    if salts:
+        a = a.withColumn("_salt", F.pmod(F.xxhash64(*[f"a_{c}" for c in POSTING_COLUMNS]), F.lit(salts)))
+        q = q.withColumn("_q_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        condition = (q["q_id"] == a["a_parent_id"]) & (q["_q_salt"] == a["_salt"])
+    else:
+        condition = q["q_id"] == a["a_parent_id"]
+    pairs = q.join(a, condition, "inner")
+    columns = [f"q_{c}" for c in POSTING_COLUMNS] + [f"a_{c}" for c in POSTING_COLUMNS]
+    return pairs.select(F.col("q_id").alias("question_id"), *columns)
 
 
 def _by_question(postings: DataFrame) -> DataFrame:
@@ -127,16 +150,6 @@ def posting_reduction(postings: DataFrame) -> DataFrame:
     )
 
 
-# Salt values for the question/answer join when AQE cannot split skew.
-JOIN_SALTS = 8
-
-
-def _aqe_splits_skew(spark) -> bool:
-    conf = spark.conf
-    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
-
-
 def scored_from_reduction(reduced: DataFrame, salts: int | None = None) -> DataFrame:
     """Join the question half of a :func:`posting_reduction` with its answer half.
 

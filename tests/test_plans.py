@@ -148,3 +148,14 @@ def test_salted_join_when_aqe_cannot_split(spark, postings_df):
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", saved or "true")
     assert salted == plain and len(plain) == 41
     assert {r[-1] for r in plain if r[1] == 7} == {9}
+
+
+def test_salted_pairs_equal_plain_pairs(postings_df):
+    from postcluster.operators.pairing import question_answer_pairs
+
+    rows = [(1, 7, None, None, 1, "Java"), (1, 7, None, None, 2, "Java"), (1, 8, None, None, 1, None)] + [
+        (2, 100 + i, None, 7, i % 5, None) for i in range(30)] + [(2, 200, None, 8, 3, None)]
+    df = postings_df(rows)
+    plain = sorted(tuple(r) for r in question_answer_pairs(df, salts=0).collect())
+    salted = sorted(tuple(r) for r in question_answer_pairs(df, salts=8).collect())
+    assert salted == plain and len(plain) == 61
