@@ -7,9 +7,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postcluster.llm import bpe, licenses, token_counts
+from postcluster.llm import bpe, licenses, quality, token_counts, toxicity, url_filter
 from postcluster.llm.frames import ROW
+from postcluster.llm.learning import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,20 +35,97 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(f"{ROW}.doc_id", "n_words", "n_tokens", "score")
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return done.select(f"{ROW}.page_id", "host", "path", "rule", "verdict")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return done.select(f"{ROW}.doc_id", "n_words", "n_base", "first_word", "last_word",
                        "base_labels", "labels", "score")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels)
+    done = toxicity.score_toxicity(docs, model, keep=["doc_id"])
+    return done.select(f"{ROW}.doc_id", held_out(F.col(f"{ROW}.doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels)
+    done = quality.score_quality(docs, model, keep=["doc_id"])
+    return done.select(f"{ROW}.doc_id", held_out(F.col(f"{ROW}.doc_id")).alias("held_out"), "score", "predicted")
+
+
+def _url_sql() -> str:
+    """The rules as a CASE; the link graph with its steps written out."""
+    ordered = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+
+    def case(value) -> str:
+        whens = " ".join(
+            f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{value(v, h + p)}'"
+            for v, h, p in ordered)
+        return f"CASE {whens} END"
+
+    lower = f"'{url_filter.UPPER}', '{url_filter.LOWER}'"
+    link = url_filter.LINK_HOST.replace("'", "''")
+    steps = []
+    for i in range(1, url_filter.STEPS + 1):
+        steps.append(f"""r{i} AS (
+  SELECT s.kind, s.host, s.seed, {1 - url_filter.DAMPING} * s.seed + {url_filter.DAMPING} * coalesce(g.got, 0) AS rank
+  FROM start s LEFT JOIN (
+    SELECT kind, host, sum(got) AS got FROM (
+      SELECT f.kind, f.b AS host, r.rank * f.w AS got FROM r{i - 1} r JOIN flows f ON r.kind = f.kind AND r.host = f.a
+      UNION ALL
+      SELECT r.kind, r.host, r.rank FROM r{i - 1} r WHERE NOT EXISTS (
+        SELECT 1 FROM flows f WHERE f.kind = r.kind AND f.a = r.host))
+    GROUP BY ALL) g ON g.kind = s.kind AND g.host = s.host)""")
+    return f"""
+WITH parts AS (
+  SELECT page_id, html,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {lower}) AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+judged AS (SELECT *, {case(lambda v, r: r)} AS rule, {case(lambda v, r: v)} AS ruled FROM parts),
+seeds AS (
+  SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0 ELSE 0.0 END) AS trust,
+    avg(CASE WHEN ruled = 'block' THEN 1.0 ELSE 0.0 END) AS distrust
+  FROM judged WHERE host <> '' GROUP BY host),
+edges AS (
+  SELECT src, dst, count(*) AS n FROM (
+    SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {lower}) AS dst FROM parts)
+  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
+both_ways AS (
+  SELECT 'trust' AS kind, src AS a, dst AS b, n FROM edges
+  UNION ALL SELECT 'distrust', dst, src, n FROM edges),
+flows AS (SELECT kind, a, b, n / sum(n) OVER (PARTITION BY kind, a) AS w FROM both_ways),
+hosts AS (SELECT host FROM seeds UNION SELECT src FROM edges UNION SELECT dst FROM edges),
+start AS (
+  SELECT 'trust' AS kind, h.host, coalesce(s.trust, 0) AS seed FROM hosts h LEFT JOIN seeds s ON s.host = h.host
+  UNION ALL
+  SELECT 'distrust', h.host, coalesce(s.distrust, 0) FROM hosts h LEFT JOIN seeds s ON s.host = h.host),
+r0 AS (SELECT kind, host, seed, seed AS rank FROM start),
+{", ".join(steps)},
+bad AS (
+  SELECT host FROM r{url_filter.STEPS} GROUP BY host
+  HAVING sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0 END) >= {url_filter.BLOCK_AT}
+    AND sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0 END) > sum(CASE WHEN kind = 'trust' THEN rank ELSE 0 END))
+SELECT page_id, host, path, rule,
+  coalesce(ruled, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged"""
+
+
 def _licenses_sql() -> str:
     """Words by regular expression; a phrase's places by the words before it."""
     norm = "' ' || array_to_string(words, ' ') || ' '"
     hits = " + ".join(
-        f"coalesce(len(list_filter(range(1, len(words) + 1), i -> array_to_string("
+        f"coalesce(len(list_filter(range(1, len(words) + 1), lambda i: array_to_string("
         f"words[i:i + {len(p.split()) - 1}], ' ') = '{p}')), 0)" for p in licenses.BASE_PHRASES)
     starts = ", ".join(
-        f"list_filter(range(1, len(words) + 1), i -> array_to_string("
+        f"list_filter(range(1, len(words) + 1), lambda i: array_to_string("
         f"words[i:i + {len(p.split()) - 1}], ' ') = '{p}')" for p in licenses.BASE_PHRASES)
     base = ", ".join(f"CASE WHEN contains(line, ' {p} ') THEN '{label}' END"
                      for p, label in licenses.BASE_PHRASES.items())
@@ -54,7 +133,7 @@ def _licenses_sql() -> str:
                      for label, t in licenses.TEMPLATES.items())
 
     def joined(items: str) -> str:
-        return f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{items}], x -> x IS NOT NULL))), ','), '')"
+        return f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{items}], lambda x: x IS NOT NULL))), ','), '')"
 
     return f"""
 WITH w AS (
@@ -71,7 +150,7 @@ s AS (
 SELECT doc_id, n_words::BIGINT AS n_words, len(starts)::BIGINT AS n_base,
   (list_min(starts) - 1)::BIGINT AS first_word, (list_max(starts) - 1)::BIGINT AS last_word,
   {joined(base)} AS base_labels, {joined(base + ", " + more)} AS labels,
-  CASE WHEN len(list_filter([{more}], x -> x IS NOT NULL)) > 0 THEN {licenses.FULL}
+  CASE WHEN len(list_filter([{more}], lambda x: x IS NOT NULL)) > 0 THEN {licenses.FULL}
        WHEN len(starts) > 0 THEN {licenses.PHRASE_ONLY} ELSE {licenses.NONE} END::DOUBLE AS score
 FROM s"""
 
@@ -79,11 +158,15 @@ FROM s"""
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op3_token_counts": op3_token_counts,
+    "op5_url_filters": op5_url_filters,
     "op8_licenses": op8_licenses,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 
 def oracle_queries() -> dict[str, str]:
     return {
+        "op5_url_filters": _url_sql(),
         "op8_licenses": _licenses_sql(),
     }
