@@ -91,9 +91,12 @@ WITH parts AS (
   FROM pages),
 judged AS (SELECT *, {case(lambda v, r: r)} AS rule, {case(lambda v, r: v)} AS ruled FROM parts),
 seeds AS (
-  SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0 ELSE 0.0 END) AS trust,
-    avg(CASE WHEN ruled = 'block' THEN 1.0 ELSE 0.0 END) AS distrust
-  FROM judged WHERE host <> '' GROUP BY host),
+  SELECT host, CASE WHEN t > {url_filter.SEED_SHARE} THEN t ELSE 0 END AS trust,
+    CASE WHEN d > {url_filter.SEED_SHARE} THEN d ELSE 0 END AS distrust
+  FROM (
+    SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0 ELSE 0.0 END) AS t,
+      avg(CASE WHEN ruled = 'block' THEN 1.0 ELSE 0.0 END) AS d
+    FROM judged WHERE host <> '' GROUP BY host)),
 edges AS (
   SELECT src, dst, count(*) AS n FROM (
     SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {lower}) AS dst FROM parts)

@@ -6,10 +6,10 @@ Everything here is DataFrame expressions.
   or a parent domain of it, and whose path begins the url's path.
 * **Hosts** without a rule for the page at hand are judged by the link graph.
   Its edges are the links between different hosts, each weighed by its share
-  of the source's links.  Trust starts at hosts whose pages rules allow, in
-  proportion to the share of their pages allowed, and flows along the links
+  of the source's links.  Trust starts at hosts most of whose pages rules
+  allow, with the share of their pages allowed, and flows along the links
   (a trusted host vouches for what it links to).  Distrust starts at hosts
-  whose pages rules block and flows against the links (a host answers for what
+  most of whose pages rules block and flows against the links (a host answers for what
   it links to).  Both are personalised PageRank with a fixed number of steps;
   a host without links in the direction of flow keeps what it holds.
 * A host is blocked if its distrust reaches ``BLOCK_AT`` and exceeds its trust.
@@ -35,7 +35,9 @@ DAMPING = 0.85
 STEPS = 8
 #: Lineage is cut after every so many steps.
 CUT_EVERY = 4
-BLOCK_AT = 0.25
+BLOCK_AT = 0.05
+#: A host is a seed if rules allow (or block) more than this share of its pages.
+SEED_SHARE = 0.5
 #: Rules become one expression; a longer list belongs in a table to join.
 MAX_RULES = 1000
 
@@ -74,9 +76,11 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def host_seeds(judged: DataFrame) -> DataFrame:
-    """``host, trust, distrust``: the shares of its pages that rules allow and block."""
+    """``host, trust, distrust``: the shares of its pages that rules allow and
+    block, 0 up to ``SEED_SHARE``."""
     def share(verdict: str) -> Column:
-        return F.avg(F.when(F.col("ruled.verdict") == verdict, 1.0).otherwise(0.0))
+        found = F.avg(F.when(F.col("ruled.verdict") == verdict, 1.0).otherwise(0.0))
+        return F.when(found > SEED_SHARE, found).otherwise(0.0)
 
     return judged.where(F.col("host") != "").groupBy("host").agg(
         share("allow").alias("trust"), share("block").alias("distrust"))

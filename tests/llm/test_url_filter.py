@@ -51,6 +51,7 @@ def brute(data, rules, damping, steps):
     out = {}
     for kind, word, e in (("trust", "allow", edges), ("distrust", "block", {(b, a): n for (a, b), n in edges.items()})):
         seed = {h: pages.get(h, []).count(word) / max(1, len(pages.get(h, []))) for h in hosts}
+        seed = {h: s if s > uf.SEED_SHARE else 0 for h, s in seed.items()}
         total = {h: sum(n for (a, _), n in e.items() if a == h) for h in hosts}
         rank = dict(seed)
         for _ in range(steps):
