@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postcluster.llm import bpe, embedding_dedup, licenses, quality, token_counts, toxicity, url_filter
+from postcluster.llm import bpe, embedding_dedup, licenses, quality, substring_dedup, token_counts, toxicity, url_filter
 from postcluster.llm.frames import ROW
 from postcluster.llm.learning import held_out
 
@@ -44,6 +44,11 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return done.select(f"{ROW}.doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return done.select(f"{ROW}.doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -167,6 +172,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
     "op5_url_filters": op5_url_filters,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
