@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postcluster.llm import bpe, embedding_dedup, licenses, quality, substring_dedup, token_counts, toxicity, url_filter
+from postcluster.llm import bpe, embedding_dedup, licenses, minhash_dedup, quality, substring_dedup, token_counts, toxicity, url_filter
 from postcluster.llm.frames import ROW
 from postcluster.llm.learning import held_out
 
@@ -35,6 +35,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(f"{ROW}.doc_id", "n_words", "n_tokens", "score")
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = minhash_dedup.near_documents(table(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return done.select(f"{ROW}.page_id", "host", "path", "rule", "verdict")
@@ -170,6 +175,7 @@ FROM s"""
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_minhash_dedup": op4_minhash_dedup,
     "op5_url_filters": op5_url_filters,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_substring_dedup": op7_substring_dedup,
