@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postcluster.llm import bpe, embedding_dedup, licenses, minhash_dedup, quality, substring_dedup, token_counts, toxicity, url_filter
+from postcluster.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, quality, substring_dedup, token_counts, toxicity, url_filter
 from postcluster.llm.frames import ROW
 from postcluster.llm.learning import held_out
 
@@ -29,6 +29,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(f"{ROW}.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    done = decontaminate.find_leaks(docs, benchmark, keep=["doc_id"])
+    return done.select(f"{ROW}.doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     done = token_counts.token_counts(docs, public_tokenizers.path(PIECE_FILE), keep=["doc_id"])
@@ -174,6 +180,7 @@ FROM s"""
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_decontaminate": op2_decontaminate,
     "op3_token_counts": op3_token_counts,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_url_filters": op5_url_filters,
