@@ -252,9 +252,10 @@ def find_hot(keyed: DataFrame, width: int) -> Hot:
 
 
 def remove_repeats(df: DataFrame, width: int = WIDTH, text: str = "text", id_col: str = "doc_id",
-                   keep: list[str] | None = None) -> DataFrame:
+                   keep: list[str] | None = None, as_written: bool = False) -> DataFrame:
     """Kept columns (struct ``_row``) with ``n_words``, ``n_removed`` and
-    ``kept``: the words that stay, joined by one space.
+    ``kept``: the words that stay, joined by one space.  With ``as_written``,
+    a text that loses nothing is kept as it is, white space and null included.
 
     A row is known by its id and a hash of its text, so null and repeated ids
     do no harm; a repeated row repeats all its windows.  Null, empty and short
@@ -277,13 +278,13 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, text: str = "text", id_col
     joined = texts.join(per_row, F.col("_id").eqNullSafe(F.col("id")) & F.col("_th").eqNullSafe(F.col("th")), "left")
     packed = joined.select(ROW, TEXT, F.col("spans.low").alias("low"), F.col("spans.high").alias("high"))
     kind = packed.schema[ROW].dataType.simpleString()
-    return packed.mapInArrow(_cut_out, f"{ROW} {kind}, n_words long, n_removed long, kept string")
+    return packed.mapInArrow(lambda b: _cut_out(b, as_written), f"{ROW} {kind}, n_words long, n_removed long, kept string")
 
 
 _SPACES = bytes(0x20 if b in ASCII_SPACE else b for b in range(256))
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_out(batches: Iterator[pa.RecordBatch], as_written: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, TEXT):
             words = scan(part.column(TEXT))
@@ -299,6 +300,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed = segment_sums(gone.astype(np.int64), words.first)
             kept = []
             for i, text in enumerate(part.column(TEXT).to_pylist()):
+                if as_written and not removed[i]:
+                    kept.append(text)
+                    continue
                 found = (text or "").encode().translate(_SPACES).split()
                 if removed[i]:
                     stays = ~gone[words.first[i]:words.first[i + 1]]
