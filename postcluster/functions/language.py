@@ -24,12 +24,8 @@ def first_language_index(tags: Column, langs: Sequence[str]) -> Column:
 
 
 def int_div(x: Column, d: int) -> Column:
-    """Integer division truncated toward zero, as Spark SQL's ``div``.
-
-    For ints the double quotient is exact enough that truncating it gives
-    the integer quotient.
-    """
-    return (x / F.lit(d)).cast("int")
+    """Integer division truncated toward zero: Spark SQL's ``div``."""
+    return F.call_function("div", x, F.lit(d)).cast("int")
 
 
 def language_label(x: Column, langs: Sequence[str], spread: int) -> Column:

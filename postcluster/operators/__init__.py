@@ -11,10 +11,14 @@ from postcluster.operators.kmeans import (
     lloyd_step,
 )
 from postcluster.operators.pairing import (
+    answer_half,
     contains_ranking,
     grouped_posting_count,
     grouped_postings,
+    join_halves,
+    lookup_rankings,
     posting_reduction,
+    question_half,
     question_answer_pairs,
     scored_from_reduction,
     scored_postings,
@@ -51,6 +55,7 @@ __all__ = [
     "cluster_language_counts",
     "cluster_summary",
     "cluster_sums",
+    "answer_half",
     "contains_ranking",
     "ensure_weighted",
     "global_sample",
@@ -60,7 +65,10 @@ __all__ = [
     "kmeans",
     "label_vectors",
     "lloyd_step",
+    "join_halves",
+    "lookup_rankings",
     "posting_reduction",
+    "question_half",
     "print_report",
     "question_answer_pairs",
     "questions",

@@ -8,9 +8,8 @@ their old center, sums the shift and decides whether to go on.
 The points are first merged into weighted points (one row per distinct
 ``(x, y)``, bounded by languages times distinct scores) and written once to
 the shared checkpoint folder, so a lost executor re-reads that file rather
-than re-running the upstream join.  The loop reads them counted, cached
-and, up to ``SINGLE_TASK_POINTS``, in one partition, which makes each
-iteration a single-stage job with no shuffle.
+than re-running the upstream join.  A pass sums each task's points per cluster
+before its shuffle, which so carries at most k rows a task.
 
 Semantics (the contract of the original job, with its defects fixed):
 
@@ -134,46 +133,29 @@ class KMeansResult:
     def trace_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.trace, TRACE_SCHEMA)
 
-    def print_trace(self, eta: float = DEFAULT_PARAMS.eta) -> None:
-        """Print each pass: its total shift against ``eta``, then every
-        center's move (the trace is already on the driver, k rows a pass)."""
+    def trace_lines(self) -> list[str]:
+        """One line a pass (its number, the total shift, how many centers
+        moved), then one for the outcome."""
         passes: dict[int, list[tuple]] = {}
         for row in self.trace:
             passes.setdefault(row[0], []).append(row)
-        for iteration, rows in sorted(passes.items()):
-            print(f"Iteration: {iteration}")
-            print(f"  * current distance: {rows[0][7]}")
-            print(f"  * desired distance: {eta}")
-            print("  * means:")
-            for _, _, ox, oy, nx, ny, moved, _, _ in rows:
-                print(f"   {f'({ox},{oy})':>20} ==> {f'({nx},{ny})':>20}    distance: {moved:8.0f}")
-        if not self.converged:
-            print("Reached max iterations!")
-
-
-# Up to this many distinct points, the iterations run as one in-memory task.
-SINGLE_TASK_POINTS = 2_000_000
-
-
-def compact(weighted: DataFrame, count: int) -> DataFrame:
-    """Weighted points laid out for small repeated jobs.
-
-    Their number is bounded by languages times distinct scores, not by the
-    input size.  Up to ``SINGLE_TASK_POINTS`` they are coalesced into one
-    partition: its ``SinglePartition`` layout already satisfies every
-    ``groupBy``, join and sort on them, so those jobs need no shuffle.
-    Above that they stay distributed (partial aggregates before a shuffle
-    of at most k rows per task).
-    """
-    return weighted.coalesce(1) if count <= SINGLE_TASK_POINTS else weighted
+        lines = [
+            f"pass {i}: shift {rows[0][7]:.1f}, {sum(r[6] > 0 for r in rows)} of {len(rows)} centers moved"
+            for i, rows in sorted(passes.items())
+        ]
+        end = "converged" if self.converged else "stopped at the pass limit"
+        return [*lines, f"{end} after {self.iterations} passes"]
+
+    def print_trace(self) -> None:
+        """Print :meth:`trace_lines` (the trace is already on the driver)."""
+        print("\n".join(self.trace_lines()))
 
 
-def loop_input(weighted: DataFrame, count: int | None = None) -> DataFrame:
-    """The weighted points as the k-means loop reads them: compact and
-    cached.  The cache sits on top of the written file, so a lost executor
-    rebuilds it from there."""
-    n = weighted.count() if count is None else count
-    return compact(weighted, n).persist(StorageLevel.MEMORY_AND_DISK)
+def loop_input(weighted: DataFrame) -> DataFrame:
+    """The weighted points as the k-means loop reads them: cached.  The cache
+    sits on top of the written file, so a lost executor rebuilds it from
+    there.  They stay spread over their tasks, however few they are."""
+    return weighted.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def lloyd_step(points: DataFrame, means: Sequence[Point]) -> list[Point]:
@@ -185,21 +167,17 @@ def lloyd_step(points: DataFrame, means: Sequence[Point]) -> list[Point]:
 
 
 def kmeans(points: DataFrame, initial: Sequence[Point],
-           params: ClusterParams = DEFAULT_PARAMS,
-           materialize_input: bool = True, point_count: int | None = None) -> KMeansResult:
+           params: ClusterParams = DEFAULT_PARAMS, materialize_input: bool = True) -> KMeansResult:
     """Run Lloyd iterations from ``initial`` until the shift is below eta.
 
     ``points`` are vectors or weighted points.  Unless the caller has
     already written them (``materialize_input=False``), they are merged and
-    written once to the checkpoint folder before the loop.  ``point_count``
-    is the number of weighted points when the caller knows it.
+    written once to the checkpoint folder before the loop.
     """
     if len(initial) == 0:
         raise ValueError("k-means needs at least one initial center")
     written = materialize(ensure_weighted(points), "weighted-points") if materialize_input else None
-    if written is not None and point_count is None:
-        point_count = written.rows
-    weighted = loop_input(written.frame if written else ensure_weighted(points), point_count)
+    weighted = loop_input(written.frame if written else ensure_weighted(points))
     try:
         means = [(int(x), int(y)) for x, y in initial]
         trace: list[tuple] = []

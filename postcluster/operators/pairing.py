@@ -19,16 +19,6 @@ def _prefixed(prefix: str) -> list:
     return [F.col(c).alias(f"{prefix}{c}") for c in POSTING_COLUMNS]
 
 
-# Salt values for the question/answer join when AQE cannot split skew.
-JOIN_SALTS = 8
-
-
-def _aqe_splits_skew(spark) -> bool:
-    conf = spark.conf
-    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
-
-
 def question_answer_pairs(postings: DataFrame, salts: int | None = None) -> DataFrame:
     """Inner equi-join ``question.id = answer.parent_id``.
 
@@ -36,15 +26,13 @@ def question_answer_pairs(postings: DataFrame, salts: int | None = None) -> Data
     ids multiply.  Output: ``question_id`` plus the question's columns
     prefixed ``q_`` and the answer's prefixed ``a_``.  Catalyst picks the
     join strategy; with AQE a question holding many answers is split at run
-    time.  Without AQE's skew join (or with ``salts`` given) each answer
-    gets a salt from a hash of its columns and the question rows are
-    repeated once per salt value, so such a question spreads over
-    ``salts`` tasks.
+    time.  ``salts`` is for sessions without AQE's skew join: each answer
+    gets one of so many salts from a hash of its columns and the question
+    rows are repeated once per salt, so such a question spreads over
+    ``salts`` tasks.  Choose it from the executors there are.
     """
     q = questions(postings).select(*_prefixed("q_"))
     a = answers(postings).select(*_prefixed("a_"))
-    if salts is None and not _aqe_splits_skew(postings.sparkSession):
-        salts = JOIN_SALTS
     if salts:
         a = a.withColumn("_salt", F.pmod(F.xxhash64(*[f"a_{c}" for c in POSTING_COLUMNS]), F.lit(salts)))
         q = q.withColumn("_q_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -129,68 +117,69 @@ def posting_reduction(postings: DataFrame) -> DataFrame:
     Every question maps to ``(question_id = id, its columns)`` and every
     answer with a parent to ``(question_id = parent_id, nulls, its score)``.
     One aggregate over ``(question_id, is_question, question columns)``
-    removes duplicate questions (``copies`` counts them) and reduces each
-    question's answers to their count, best score and id range.  It has a
-    partial (map-side) step, so a hot question id costs one row per task in
-    the shuffle.
+    removes duplicate questions and reduces each question's answers to their
+    best score.  It has a partial (map-side) step, so a hot question id costs
+    one row per task in the shuffle.
 
     The result is at most one row per distinct question plus one per
     answered id, so it is much smaller than the postings.  Writing it once
-    (``session.materialize``) lets both halves of the join below read it
-    instead of scanning and parsing the input twice.
+    (``session.materialize``) lets both halves of the join read it instead of
+    scanning and parsing one mixed input twice.
     """
-    keyed = _by_question(postings)
-    return keyed.groupBy(
-        "question_id", "is_question", "q_accepted_answer", "q_parent_id", "q_score", "q_tags"
-    ).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.max("answer_score").alias("high_score"),
-        F.min("answer_id").alias("min_answer_id"),
-        F.max("answer_id").alias("max_answer_id"),
-    )
+    return _by_question(postings).groupBy("question_id", "is_question", *_QUESTION).agg(
+        F.max("answer_score").alias("high_score"))
 
 
-def scored_from_reduction(reduced: DataFrame, salts: int | None = None) -> DataFrame:
-    """Join the question half of a :func:`posting_reduction` with its answer half.
-
-    The answer half has one row per question id; the question half can hold
-    many distinct postings for one id.  With AQE's skew join on (the
-    default) a hot id is split at run time.  Without it (or with ``salts``
-    given) the join is salted: each question row gets a salt from a hash of
-    its columns, and each best-score row is repeated once per salt value, so
-    a hot id spreads over ``salts`` tasks and every question row still meets
+_QUESTION = ("q_accepted_answer", "q_parent_id", "q_score", "q_tags")
+
+
+def question_half(postings: DataFrame) -> DataFrame:
+    """Distinct questions: ``question_id`` and their columns."""
+    return _by_question(postings).where("is_question").select("question_id", *_QUESTION).distinct()
+
+
+def answer_half(postings: DataFrame) -> DataFrame:
+    """``answered_id, high_score``: one row for each answered id.
+
+    The second grouping key never varies.  It keeps this exchange from serving
+    the join on the id as well: AQE splits a hot question id only where both
+    sides of the join come straight from exchanges made for it.  The price is
+    a second exchange of one row for each answered id.
+    """
+    return _by_question(postings).where("NOT is_question").groupBy("question_id", "is_question").agg(
+        F.max("answer_score").alias("high_score")).select(F.col("question_id").alias("answered_id"), "high_score")
+
+
+def join_halves(qs: DataFrame, best: DataFrame, salts: int | None = None) -> DataFrame:
+    """Questions (``question_id``, other columns) with their best score
+    (``answered_id, high_score``, one row for each id); unanswered ones drop out.
+
+    The question side can hold many distinct postings for one id.  AQE splits
+    such an id at run time; for sessions without it, ``salts`` gives each
+    question row one of so many salts from a hash of its columns and repeats
+    each best-score row once per salt, so every question row still meets
     exactly one copy of its best score.
     """
-    qs = reduced.where(F.col("is_question")).select(
-        "question_id", "q_accepted_answer", "q_parent_id", "q_score", "q_tags"
-    )
-    best = reduced.where(~F.col("is_question")).select(
-        F.col("question_id").alias("answered_id"), "high_score"
-    )
-    if salts is None and not _aqe_splits_skew(reduced.sparkSession):
-        salts = JOIN_SALTS
+    condition = F.col("question_id") == F.col("answered_id")
+    columns = [c for c in qs.columns if c != "question_id"]
     if salts:
-        salt_of = F.pmod(
-            F.xxhash64("q_accepted_answer", "q_parent_id", "q_score", "q_tags"), F.lit(salts)
-        )
-        qs = qs.withColumn("salt", salt_of)
+        qs = qs.withColumn("salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
         best = best.withColumn("answer_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        condition = (qs["question_id"] == best["answered_id"]) & (qs["salt"] == best["answer_salt"])
-    else:
-        condition = qs["question_id"] == best["answered_id"]
-    joined = qs.join(best, condition, "inner")
-    return joined.select(
-        F.lit(1).alias("posting_type"),
-        F.col("question_id").alias("id"),
-        F.col("q_accepted_answer").alias("accepted_answer"),
-        F.col("q_parent_id").alias("parent_id"),
-        F.col("q_score").alias("score"),
-        F.col("q_tags").alias("tags"),
-        F.col("high_score"),
-    )
+        condition = condition & (F.col("salt") == F.col("answer_salt"))
+    return qs.join(best, condition, "inner").select("question_id", *columns, "high_score")
+
+
+def scored_from_reduction(reduced: DataFrame, salts: int | None = None) -> DataFrame:
+    """``id, tags, high_score`` of the answered questions of a written
+    :func:`posting_reduction` (its columns ``question_id, is_question, q_tags,
+    high_score`` are enough)."""
+    qs = reduced.where("is_question").select("question_id", "q_tags")
+    best = reduced.where("NOT is_question").select(F.col("question_id").alias("answered_id"), "high_score")
+    return join_halves(qs, best, salts).select(
+        F.col("question_id").alias("id"), F.col("q_tags").alias("tags"), "high_score")
 
 
-def scored_postings(postings: DataFrame) -> DataFrame:
+def scored_postings(postings: DataFrame, salts: int | None = None) -> DataFrame:
     """Each answered question with the best score among its answers.
 
     Questions are grouped by whole-posting equality: exact duplicate
@@ -198,17 +187,30 @@ def scored_postings(postings: DataFrame) -> DataFrame:
     id stay separate (each with the id's best answer score).  Equal to
     pairing, grouping and taking the max, without forming pairs.
 
-    Lazy form: the filters on ``is_question`` reach below the aggregate, so
-    when questions and answers come from different sources each half reads
-    only its own.  For one mixed source, write the reduction first (see
-    ``plans.clustering``).  The join on ``question_id`` matches distinct
-    questions with one best-score row per question; a hot question id on
-    the question side is a skewed join partition, which AQE splits.
+    Lazy form: each half filters its own postings, so when questions and
+    answers come from different sources each reads only its own.  For one
+    mixed source, write the reduction first (see ``plans.clustering``).
     """
-    return scored_from_reduction(posting_reduction(postings))
+    joined = join_halves(question_half(postings), answer_half(postings), salts)
+    return joined.select(
+        F.lit(1).alias("posting_type"),
+        F.col("question_id").alias("id"),
+        *[F.col(c).alias(c.removeprefix("q_")) for c in _QUESTION],
+        F.col("high_score"),
+    )
 
 
 def contains_ranking(scored: DataFrame, posting_id: int, ranking: int) -> bool:
     """True when some scored question has this id and this best score."""
     hit = scored.where((F.col("id") == F.lit(posting_id)) & (F.col("high_score") == F.lit(ranking)))
     return not hit.isEmpty()
+
+
+def lookup_rankings(scored: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id, ranking, found`` for every row of ``wanted`` (``id, ranking``):
+    is there a scored question with this id and this best score?  A null id or
+    ranking is never found."""
+    known = scored.select(F.col("id").alias("k"), F.col("high_score").alias("h")).distinct()
+    hits = wanted.select("id", "ranking").join(
+        known, (F.col("id") == F.col("k")) & (F.col("ranking") == F.col("h")), "left")
+    return hits.select("id", "ranking", F.col("k").isNotNull().alias("found"))

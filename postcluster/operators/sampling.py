@@ -54,10 +54,10 @@ def global_sample(vectors: DataFrame, params: ClusterParams = DEFAULT_PARAMS) ->
     """``cluster, x, y, id, rank``: ``kernels`` rows regardless of language."""
     top = (
         vectors.select("id", "x", "y", sample_order(params.seed).alias("draw"))
-        .orderBy("draw", "id", "y")
+        .orderBy("draw", "id", "x", "y")
         .limit(params.kernels)
     )
-    numbered = top.withColumn("rank", F.row_number().over(Window.orderBy("draw", "id", "y")))
+    numbered = top.withColumn("rank", F.row_number().over(Window.orderBy("draw", "id", "x", "y")))
     return numbered.select(
         (F.col("rank") - F.lit(1)).cast("int").alias("cluster"),
         "x",

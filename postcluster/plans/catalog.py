@@ -5,20 +5,22 @@ tables (``sources.tables``) and returns a DataFrame.  Column names equal
 those of the DuckDB oracle in ``plans.oracle``.
 
 Queries that need centers run the sample (and k-means) eagerly: those steps
-return k rows to the driver by design.  The returned DataFrames stay lazy.
+return k rows to the driver by design.  Results of a few rows per cluster are
+settled, and what they were computed from is deleted; other results stay lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postcluster.operators.kmeans import assign_clusters, center_shift, center_update, centers_frame
 from postcluster.operators.pairing import (
     grouped_posting_count,
     grouped_postings,
+    lookup_rankings,
     question_answer_pairs,
     scored_postings,
 )
@@ -28,7 +30,7 @@ from postcluster.operators.summary import cluster_language_counts, cluster_summa
 from postcluster.operators.vectors import label_vectors, weighted_points, with_language_index
 from postcluster.params import DEFAULT_PARAMS, MIXED_PARAMS, ClusterParams
 from postcluster.plans.clustering import cluster_lines, cluster_points, prepare_points
-from postcluster.session import materialize
+from postcluster.session import materialize, settle
 from postcluster.sources.tables import posting_text_from_tables, postings_from_tables
 from postcluster.sources.text import parse_postings
 
@@ -44,20 +46,20 @@ def _vectors(spark: SparkSession, sf_dir: str, params: ClusterParams = DEFAULT_P
 
 
 def raw_posting_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines read and postings parsed (equal, or the parse fails)."""
-    lines = posting_text_from_tables(spark, sf_dir)
-    read = lines.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit("lines").alias("what"), "row_count"
-    )
-    parsed = parse_postings(lines).agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit("postings").alias("what"), "row_count"
-    )
-    return read.unionByName(parsed)
+    """Lines read and postings parsed (equal, or the parse fails), in one scan."""
+    text = posting_text_from_tables(spark, sf_dir)
+    read = Observation("lines-read")
+    lines = text.frame.observe(read, F.count(F.lit(1)).alias("n"))
+    parsed = parse_postings(lines).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    counts = [("lines", read.get["n"]), ("postings", parsed)]
+    text.discard()
+    return spark.createDataFrame(counts, "what string, row_count long")
 
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postings written as text lines, scanned and parsed back."""
-    return parse_postings(posting_text_from_tables(spark, sf_dir))
+    """Postings written as text lines, scanned and parsed back.  The lines stay
+    for the returned frame until ``session.discard_all``."""
+    return parse_postings(posting_text_from_tables(spark, sf_dir).frame)
 
 
 def questions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,26 +108,25 @@ def global_sample_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return global_sample(_vectors(spark, sf_dir, MIXED_PARAMS), MIXED_PARAMS)
 
 
-def _written_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors written once, so the sample and the step that follows both
-    read the file instead of re-running the join."""
-    return materialize(_vectors(spark, sf_dir), "vectors").frame
-
-
 def nearest_center_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its nearest initial center and squared distance."""
-    vectors = _written_vectors(spark, sf_dir)
+    vectors = _vectors(spark, sf_dir)
     return assign_clusters(vectors, initial_centers(vectors, DEFAULT_PARAMS))
 
 
+def _one_step(spark: SparkSession, sf_dir: str, step) -> DataFrame:
+    """A result of k rows from the vectors and their sample.  The vectors are
+    written once, so that sample and step both read the file."""
+    vectors = materialize(_vectors(spark, sf_dir), "vectors")
+    return settle(step(vectors.frame, initial_centers(vectors.frame, DEFAULT_PARAMS)), vectors)
+
+
 def center_update_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _written_vectors(spark, sf_dir)
-    return center_update(vectors, initial_centers(vectors, DEFAULT_PARAMS))
+    return _one_step(spark, sf_dir, center_update)
 
 
 def center_shift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _written_vectors(spark, sf_dir)
-    return center_shift(vectors, initial_centers(vectors, DEFAULT_PARAMS), DEFAULT_PARAMS.eta)
+    return _one_step(spark, sf_dir, lambda v, c: center_shift(v, c, DEFAULT_PARAMS.eta))
 
 
 def _clustered(spark: SparkSession, sf_dir: str, params: ClusterParams = DEFAULT_PARAMS,
@@ -147,11 +148,11 @@ def kmeans_centers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cluster_language_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = _clustered(spark, sf_dir)
-    return cluster_language_counts(outcome.points.compact_weighted, outcome.centers, DEFAULT_PARAMS)
+    return outcome.settle(cluster_language_counts(outcome.points.weighted, outcome.centers, DEFAULT_PARAMS))
 
 
 def cluster_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clustered(spark, sf_dir).summary
+    return _clustered(spark, sf_dir).settle()
 
 
 def cluster_summary_initial_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,25 +160,35 @@ def cluster_summary_initial_query(spark: SparkSession, sf_dir: str) -> DataFrame
     its k-means never moves the centers."""
     points = prepare_points(_postings(spark, sf_dir), DEFAULT_PARAMS)
     start = initial_centers(points.vectors, DEFAULT_PARAMS)
-    points.discard_vectors()
-    return cluster_summary(points.compact_weighted, start, DEFAULT_PARAMS)
+    return settle(cluster_summary(points.weighted, start, DEFAULT_PARAMS),
+                  points.vectors_table, points.weighted_table)
 
 
 def cluster_summary_mixed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clustered(spark, sf_dir, MIXED_PARAMS).summary
+    return _clustered(spark, sf_dir, MIXED_PARAMS).settle()
 
 
 def cluster_percent_truncated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clustered(spark, sf_dir, MIXED_PARAMS, exact_percent=False).summary
+    return _clustered(spark, sf_dir, MIXED_PARAMS, exact_percent=False).settle()
 
 
 def cluster_report_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report_lines(_clustered(spark, sf_dir).summary)
+    return report_lines(_clustered(spark, sf_dir).settle())
+
+
+def scored_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every question: is its own score also its best answer's score?"""
+    postings = _postings(spark, sf_dir)
+    wanted = questions(postings).select("id", F.col("score").alias("ranking")).distinct()
+    return lookup_rankings(scored_postings(postings), wanted)
 
 
 def end_to_end_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines -> parse -> pair -> score -> vectors -> k-means -> summary."""
-    return cluster_lines(posting_text_from_tables(spark, sf_dir), DEFAULT_PARAMS).summary
+    text = posting_text_from_tables(spark, sf_dir)
+    summary = cluster_lines(text.frame, DEFAULT_PARAMS).settle()
+    text.discard()
+    return summary
 
 
 QUERIES: dict[str, Query] = {
@@ -189,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "grouped_postings": grouped_query,
     "grouped_posting_count": grouped_count_query,
     "scored_postings": scored_query,
+    "scored_question_lookup": scored_lookup_query,
     "first_language_index": first_language_index_query,
     "label_vectors": label_vectors_query,
     "weighted_points": weighted_points_query,

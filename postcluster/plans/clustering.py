@@ -16,26 +16,26 @@ summary.  Three tables are written once to the shared checkpoint folder:
 These writes cut the lineage, so a lost executor re-reads a file instead of
 re-running the join.  Each is deleted once nothing reads it (the reduction
 after the vectors are written, the vectors after the sample).  The summary
-that comes back is a lazy DataFrame over the weighted points; only the k
-centers ever reach the driver.
+that comes back is a lazy DataFrame over the weighted points, which stay until
+:meth:`ClusteringOutcome.discard` or :meth:`ClusteringOutcome.settle`.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postcluster.functions.geometry import Point
 from postcluster.functions.language import first_language_index
-from postcluster.operators.kmeans import KMeansResult, compact, kmeans
+from postcluster.operators.kmeans import KMeansResult, kmeans
 from postcluster.operators.pairing import posting_reduction, scored_from_reduction
 from postcluster.operators.sampling import initial_centers
 from postcluster.operators.summary import cluster_summary, print_report, report_lines
 from postcluster.operators.vectors import label_vectors, weighted_points
 from postcluster.params import DEFAULT_PARAMS, ClusterParams
-from postcluster.session import Written, materialize
+from postcluster.session import Written, materialize, settle
 from postcluster.sources.text import parse_postings, read_posting_lines
 
 
@@ -43,12 +43,6 @@ from postcluster.sources.text import parse_postings, read_posting_lines
 class PreparedPoints:
     vectors_table: Written   # id, x, y
     weighted_table: Written  # x, y, n
-    point_count: int         # rows of the weighted table
-
-    @property
-    def compact_weighted(self) -> DataFrame:
-        """The weighted points in one partition when their count allows."""
-        return compact(self.weighted, self.point_count)
 
     @property
     def vectors(self) -> DataFrame:
@@ -80,6 +74,13 @@ class ClusteringOutcome:
         """Delete the written points once the summary will not be read again."""
         self.points.discard()
 
+    def settle(self, result: DataFrame | None = None) -> DataFrame:
+        """The summary, or another result of at most a few rows per cluster
+        and language, on its own; the written points are deleted."""
+        settled = settle(self.summary if result is None else result)
+        self.discard()
+        return settled
+
 
 def prepare_points(postings: DataFrame, params: ClusterParams = DEFAULT_PARAMS) -> PreparedPoints:
     """Vectors and weighted points of the postings, each written once.
@@ -93,12 +94,12 @@ def prepare_points(postings: DataFrame, params: ClusterParams = DEFAULT_PARAMS)
     known = first_language_index(F.col("tags"), params.langs).isNotNull()
     clusterable = postings.where((F.col("posting_type") != F.lit(1)) | known)
     # Split by role on disk: each half of the join reads only its directory.
-    reduced = materialize(posting_reduction(clusterable), "posting-reduction",
-                          partition_by=("is_question",))
+    reduction = posting_reduction(clusterable).select("question_id", "is_question", "q_tags", "high_score")
+    reduced = materialize(reduction, "posting-reduction", partition_by=("is_question",))
     vectors = materialize(label_vectors(scored_from_reduction(reduced.frame), params), "vectors")
     reduced.discard()
     weighted = materialize(weighted_points(vectors.frame), "weighted-points")
-    return PreparedPoints(vectors, weighted, weighted.rows)
+    return PreparedPoints(vectors, weighted)
 
 
 def cluster_points(points: PreparedPoints, params: ClusterParams = DEFAULT_PARAMS,
@@ -112,9 +113,8 @@ def cluster_points(points: PreparedPoints, params: ClusterParams = DEFAULT_PARAM
     start = initial_centers(points.vectors, params)
     if not keep_vectors:
         points.discard_vectors()
-    result = kmeans(points.weighted, start, params, materialize_input=False,
-                    point_count=points.point_count)
-    summary = cluster_summary(points.compact_weighted, result.centers, params, exact_percent)
+    result = kmeans(points.weighted, start, params, materialize_input=False)
+    summary = cluster_summary(points.weighted, result.centers, params, exact_percent)
     return ClusteringOutcome(points, result, summary)
 
 
@@ -133,9 +133,10 @@ def cluster_lines(lines: DataFrame, params: ClusterParams = DEFAULT_PARAMS,
 def run(spark: SparkSession, path: str, params: ClusterParams = DEFAULT_PARAMS,
         debug: bool = False) -> ClusteringOutcome:
     """Read posting files at ``path``, cluster them and print the report
-    (with ``debug``, print every k-means pass first)."""
+    (with ``debug``, print every k-means pass first).  Leaves no files."""
     outcome = cluster_lines(read_posting_lines(spark, path), params)
     if debug:
-        outcome.kmeans.print_trace(params.eta)
-    print_report(report_lines(outcome.summary))
-    return outcome
+        outcome.kmeans.print_trace()
+    summary = outcome.settle()
+    print_report(report_lines(summary))
+    return replace(outcome, summary=summary)

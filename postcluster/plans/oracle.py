@@ -73,6 +73,33 @@ scored AS (
 )"""
 
 
+def _pairs_sql() -> str:
+    """The pairs straight from the two tables, without the other postings."""
+    return f"""
+WITH q AS (
+    SELECT CAST(o_orderkey AS INTEGER) AS id,
+           CASE WHEN o_orderkey % 3 = 0 THEN CAST(10000001 + o_orderkey * 8 AS INTEGER) END AS accepted_answer,
+           CAST(floor(o_totalprice / 10000) AS INTEGER) AS score,
+           CASE WHEN o_custkey % 17 = 16 THEN CAST(NULL AS VARCHAR)
+                WHEN o_custkey % 17 = 15 THEN 'COBOL'
+                ELSE {_lang_list(LANGUAGES)}[CAST(o_custkey % 17 AS INTEGER) + 1] END AS tags
+    FROM orders
+),
+a AS (
+    SELECT CAST(10000000 + l_orderkey * 8 + l_linenumber AS INTEGER) AS id,
+           CASE WHEN l_partkey % 50 = 2 THEN CAST(5000000 + l_orderkey AS INTEGER)
+                ELSE CAST(l_orderkey AS INTEGER) END AS parent_id,
+           CAST(trunc(l_quantity - 10) AS INTEGER) AS score
+    FROM lineitem WHERE l_partkey % 50 <> 1
+)
+SELECT q.id AS question_id,
+       1 AS q_posting_type, q.id AS q_id, q.accepted_answer AS q_accepted_answer,
+       CAST(NULL AS INTEGER) AS q_parent_id, q.score AS q_score, q.tags AS q_tags,
+       2 AS a_posting_type, a.id AS a_id, CAST(NULL AS INTEGER) AS a_accepted_answer,
+       a.parent_id AS a_parent_id, a.score AS a_score, CAST(NULL AS VARCHAR) AS a_tags
+FROM q JOIN a ON q.id = a.parent_id"""
+
+
 def _vector_ctes(params: ClusterParams) -> str:
     return f"""{_postings_ctes(params.langs)},
 vectors AS (
@@ -102,7 +129,7 @@ sample AS (
 )"""
     return f"""
 ranked AS (
-    SELECT id, x, y, row_number() OVER (ORDER BY {_draw(params)}, id, y) AS rank
+    SELECT id, x, y, row_number() OVER (ORDER BY {_draw(params)}, id, x, y) AS rank
     FROM vectors
 ),
 sample AS (
@@ -256,13 +283,7 @@ SELECT 'postings' AS what, ({line_count}) AS row_count""",
         "raw_postings": base + "SELECT * FROM postings",
         "questions": base + "SELECT * FROM questions",
         "answers": base + "SELECT * FROM answers",
-        "question_answer_pairs": base + """
-SELECT q.id AS question_id,
-       q.posting_type AS q_posting_type, q.id AS q_id, q.accepted_answer AS q_accepted_answer,
-       q.parent_id AS q_parent_id, q.score AS q_score, q.tags AS q_tags,
-       a.posting_type AS a_posting_type, a.id AS a_id, a.accepted_answer AS a_accepted_answer,
-       a.parent_id AS a_parent_id, a.score AS a_score, a.tags AS a_tags
-FROM questions q JOIN answers a ON q.id = a.parent_id""",
+        "question_answer_pairs": _pairs_sql(),
         "grouped_postings": base + """
 SELECT q.question_id, q.question_postings, a.answers,
        CAST(q.question_postings * a.answers AS BIGINT) AS pairs,
@@ -276,6 +297,10 @@ JOIN (SELECT parent_id AS question_id, count(*) AS answers, min(id) AS min_answe
 SELECT count(DISTINCT q.id) AS groups
 FROM questions q WHERE q.id IN (SELECT parent_id FROM answers)""",
         "scored_postings": base + "SELECT * FROM scored",
+        "scored_question_lookup": base + """
+SELECT w.id, w.ranking, s.id IS NOT NULL AS found
+FROM (SELECT DISTINCT id, score AS ranking FROM questions) w
+LEFT JOIN (SELECT DISTINCT id, high_score FROM scored) s ON s.id = w.id AND s.high_score = w.ranking""",
         "first_language_index": base + """
 SELECT q.id, q.tags, CAST(l.lang_index AS INTEGER) AS lang_index
 FROM questions q LEFT JOIN langs l ON q.tags = l.lang""",

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from postcluster.functions.language import language_array
 from postcluster.params import LANGUAGES
-from postcluster.session import write_lines
-from postcluster.sources.text import POSTING_COLUMNS, posting_lines, read_posting_lines
+from postcluster.session import Written, write_lines
+from postcluster.sources.text import POSTING_COLUMNS, posting_lines
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,11 +100,9 @@ def posting_lines_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posting_lines(postings_from_tables(spark, sf_dir))
 
 
-def posting_text_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posting_text_from_tables(spark: SparkSession, sf_dir: str) -> Written:
     """The postings as real text files: rendered once into the shared
     checkpoint folder, then scanned with ``spark.read.text`` like any posting
-    file.  Without a shared folder the rendered lines are used in memory.
+    file.  The caller discards them.
     """
-    lines = posting_lines_from_tables(spark, sf_dir)
-    path = write_lines(lines, "posting-lines")
-    return lines if path is None else read_posting_lines(spark, path)
+    return write_lines(posting_lines_from_tables(spark, sf_dir), "posting-lines")

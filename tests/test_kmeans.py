@@ -91,13 +91,39 @@ def test_center_shift_totals(spark):
     assert rows == [(0, 0, 0, 0, 2, 4.0, 4.0, True), (1, 0, 10, 0, 10, 0.0, 4.0, True)]
 
 
-def test_print_trace(spark, capsys):
+def test_trace_lines(spark, capsys):
     df = points(spark, [(0, 0), (0, 2), (0, 100), (0, 104)])
     res = kmeans(df, [(0, 0), (0, 1)], ClusterParams(eta=1.0, kernels=2, langs=("A", "B")))
-    res.print_trace(1.0)
-    out = capsys.readouterr().out.splitlines()
-    assert out[0] == "Iteration: 1"
-    assert out[1] == "  * current distance: 4489.0"
-    assert out[4] == "   " + "(0,0)".rjust(20) + " ==> " + "(0,0)".rjust(20) + "    distance: " + "0".rjust(8)
-    assert sum(line.startswith("Iteration:") for line in out) == 3
-    assert "Reached max iterations!" not in out
+    res.print_trace()
+    assert capsys.readouterr().out.splitlines() == res.trace_lines()
+    assert res.trace_lines() == [
+        "pass 1: shift 4489.0, 1 of 2 centers moved",
+        f"pass 2: shift {res.trace[2][7]:.1f}, 2 of 2 centers moved",
+        "pass 3: shift 0.0, 0 of 2 centers moved",
+        "converged after 3 passes",
+    ]
+
+
+def test_passes_and_summary_stay_distributed(spark):
+    """Points in several partitions: each task sums its own before the exchange."""
+    from postcluster.operators.kmeans import loop_input
+    from postcluster.operators.summary import cluster_summary
+
+    rows = [(50000 * (i % 3), i % 40, 1 + i % 2) for i in range(600)]
+    weighted = spark.createDataFrame(rows, "x int, y int, n bigint").repartition(6)
+    params = ClusterParams(eta=1.0, kernels=3, langs=("A", "B", "C"))
+    start = [(0, 0), (50000, 20), (100000, 39)]
+    held = loop_input(weighted)
+    try:
+        assert held.rdd.getNumPartitions() == 6
+        tree = cluster_sums(held, start)._jdf.queryExecution().executedPlan().toString()
+        assert "partial_sum" in tree and tree.index("Exchange") < tree.index("partial_sum")
+        assert "Coalesce" not in tree
+    finally:
+        held.unpersist()
+    spread = kmeans(weighted, start, params, materialize_input=False)
+    single = kmeans(weighted.coalesce(1), start, params, materialize_input=False)
+    assert spread.centers == single.centers and spread.trace == single.trace
+    got, want = (sorted(map(tuple, cluster_summary(w, spread.centers, params).collect()))
+                 for w in (weighted, weighted.coalesce(1)))
+    assert got == want and len(got) == 3

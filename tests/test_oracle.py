@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from postcluster.plans.catalog import QUERIES
+from postcluster.plans.oracle import oracle_queries
 from tests.conftest import SF_SMALL
 from tools.check_oracle import SPARK_TO_DUCK, TABLES, digest
 
@@ -24,10 +26,12 @@ def duck():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(oracle_queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_cols = df.columns

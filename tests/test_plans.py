@@ -129,25 +129,36 @@ def test_reduction_scans_posting_text_once(spark, lines_file):
     assert tree.count("Generate") == 1  # fields split once, below every later filter
 
 
-def test_salted_join_when_aqe_cannot_split(spark, postings_df):
-    """With AQE's skew join off, the scoring join is salted; results are unchanged."""
-    from postcluster.operators.pairing import posting_reduction, scored_from_reduction
+def test_salted_scoring_equals_plain_scoring(postings_df):
+    """For sessions without AQE's skew join; the rows do not depend on the salts."""
+    from postcluster.operators.pairing import scored_postings
 
     rows = [(1, 7, None, None, s, "Java") for s in range(40)] + [
         (1, 8, None, None, 1, "Scala"), (2, 100, None, 7, 5, None), (2, 101, None, 7, 9, None),
         (2, 102, None, 8, -3, None)]
-    reduced = posting_reduction(postings_df(rows))
-    plain = sorted(tuple(r) for r in scored_from_reduction(reduced, salts=0).collect())
-    saved = spark.conf.get("spark.sql.adaptive.skewJoin.enabled", None)
+    df = postings_df(rows)
+    plain = sorted(tuple(r) for r in scored_postings(df).collect())
+    assert len(plain) == 41 and {r[-1] for r in plain if r[1] == 7} == {9}
+    for salts in (2, 8):
+        salted = scored_postings(df, salts)
+        assert "salt" in plan(salted, "simple")
+        assert sorted(tuple(r) for r in salted.collect()) == plain
+
+
+def test_scoring_exchanges(spark):
+    """Each half is exchanged for its aggregate and again, reduced, for the
+    join: only so can AQE split a hot question id (see the test of that)."""
+    from postcluster.operators.pairing import scored_postings
+    from postcluster.sources.tables import postings_from_tables
+
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
-        salted_df = scored_from_reduction(reduced)
-        salted = sorted(tuple(r) for r in salted_df.collect())
-        assert "salt" in plan(salted_df, "simple")
+        tree = plan(scored_postings(postings_from_tables(spark, SF_SMALL)), "simple")
     finally:
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", saved or "true")
-    assert salted == plain and len(plain) == 41
-    assert {r[-1] for r in plain if r[1] == 7} == {9}
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert tree.count("Exchange hashpartitioning") == 4
+    assert "answer_id" not in tree
 
 
 def test_salted_pairs_equal_plain_pairs(postings_df):
@@ -156,6 +167,7 @@ def test_salted_pairs_equal_plain_pairs(postings_df):
     rows = [(1, 7, None, None, 1, "Java"), (1, 7, None, None, 2, "Java"), (1, 8, None, None, 1, None)] + [
         (2, 100 + i, None, 7, i % 5, None) for i in range(30)] + [(2, 200, None, 8, 3, None)]
     df = postings_df(rows)
-    plain = sorted(tuple(r) for r in question_answer_pairs(df, salts=0).collect())
-    salted = sorted(tuple(r) for r in question_answer_pairs(df, salts=8).collect())
-    assert salted == plain and len(plain) == 61
+    plain = sorted(tuple(r) for r in question_answer_pairs(df).collect())
+    assert len(plain) == 61
+    for salts in (3, 8):
+        assert sorted(tuple(r) for r in question_answer_pairs(df, salts).collect()) == plain

@@ -66,3 +66,17 @@ def test_global_sample_too_few_rows(spark):
     v = spark.createDataFrame([(1, 0, 1), (2, 1, 2)], "id int, x int, y int")
     with pytest.raises(ValueError, match="expected 6"):
         initial_centers(v, ClusterParams(langs=("A", "B", "C"), spread=1, kernels=6))
+
+
+def test_overall_sample_does_not_depend_on_row_order(spark):
+    """Questions of one id in two languages have one draw and one best score."""
+    from postcluster.operators.sampling import global_sample
+
+    rows = [(7, 0, 5), (7, 3, 5), (7, 9, 5), (8, 3, 1)]
+    params = ClusterParams(spread=3, kernels=2, langs=("A", "B"))
+    assert not params.samples_by_language
+    got = set()
+    for order in (rows, rows[::-1], [rows[1], rows[3], rows[0], rows[2]]):
+        df = spark.createDataFrame(order, "id int, x int, y int").coalesce(1)
+        got.add(tuple(sorted(tuple(r) for r in global_sample(df, params).collect())))
+    assert len(got) == 1

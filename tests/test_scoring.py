@@ -104,3 +104,14 @@ def test_grouped_posting_count_edges(postings_df):
     g = [tuple(r) for r in grouped_postings(df).collect()]
     assert g == [(1, 2, 2, 4, 10, 11, 6)]
     assert question_answer_pairs(df).count() == 4
+
+
+def test_lookup_rankings(spark, postings_df):
+    from postcluster.operators.pairing import lookup_rankings
+
+    scored = scored_postings(postings_df([
+        (1, 6, None, None, 140, "CSS"), (1, 6, None, None, 141, "CSS"), (1, 9, None, None, 1, None),
+        (2, 7, None, 6, 67, None), (2, 8, None, 6, 3, None)]))
+    wanted = spark.createDataFrame([(6, 67), (6, 3), (9, 1), (None, 67), (6, None)], "id int, ranking int")
+    got = {(r.id, r.ranking): r.found for r in lookup_rankings(scored, wanted).collect()}
+    assert got == {(6, 67): True, (6, 3): False, (9, 1): False, (None, 67): False, (6, None): False}

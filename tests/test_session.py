@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from postcluster.plans.clustering import cluster_postings
 from postcluster.session import checkpoint_root, materialize
 from postcluster.sources.tables import postings_from_tables
@@ -16,7 +18,6 @@ def _local(path: str) -> str:
 
 def test_materialize_writes_under_checkpoint_dir_and_discards(spark):
     written = materialize(spark.range(10), "probe")
-    assert written.durable
     assert written.path.startswith(checkpoint_root(spark).rstrip("/"))
     assert written.frame.count() == written.rows == 10
     path = written.path
@@ -36,20 +37,86 @@ def test_clustering_keeps_only_what_the_summary_reads(spark):
     assert not os.path.exists(_local(weighted_path))
 
 
-def test_without_checkpoint_dir_the_job_falls_back_to_persist(spark, monkeypatch):
+def test_without_checkpoint_dir_writing_is_an_error(spark, monkeypatch):
     import postcluster.session as session
     from postcluster.plans.catalog import QUERIES
 
-    durable = sorted(tuple(r) for r in QUERIES["cluster_summary"](spark, SF_SMALL).collect())
-    monkeypatch.setattr(session, "checkpoint_root", lambda _spark: None)
-    written = session.materialize(spark.range(5), "probe")
-    assert not written.durable and written.frame.is_cached and written.rows == 5
+    monkeypatch.setattr(session, "_configured_root", lambda _spark: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.materialize(spark.range(5), "probe")
+    for name in ("raw_posting_count", "cluster_summary"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            QUERIES[name](spark, SF_SMALL)
+
+
+def test_every_query_leaves_the_shared_folder_empty(spark):
+    from postcluster.plans.catalog import QUERIES
+    from postcluster.session import discard_all
+
+    folder = os.path.join(_local(checkpoint_root(spark)), "postcluster")
+    discard_all(spark)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for name, query in QUERIES.items():
+        query(spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+        left = {p.rsplit("-", 1)[0] for p in set(os.listdir(folder)) - before}
+        assert left <= {"posting-lines"}, name  # only what a lazy result still reads
+        discard_all(spark)
+        assert set(os.listdir(folder)) <= before, name
+
+
+def test_delete_errors_are_raised(spark, monkeypatch):
+    import postcluster.session as session
+
+    written = materialize(spark.range(3), "probe")
+
+    def refuse(_spark, path):
+        raise OSError(path)
+
+    with monkeypatch.context() as m:
+        m.setattr(session, "_delete", refuse)
+        with pytest.raises(OSError):
+            written.discard()
+    assert written.path is not None
     written.discard()
-    assert not written.frame.is_cached
-    fallback = sorted(tuple(r) for r in QUERIES["cluster_summary"](spark, SF_SMALL).collect())
-    assert fallback == durable and len(fallback) > 0
-    text_rows = QUERIES["raw_posting_count"](spark, SF_SMALL).collect()
-    assert {r["what"]: r["row_count"] for r in text_rows}["lines"] > 0
+
+
+def test_session_takes_the_master_it_is_given(monkeypatch):
+    import postcluster.__main__ as main
+    import postcluster.session as session
+
+    class Builder:
+        def __init__(self):
+            self.seen = {}
+
+        def appName(self, name):
+            return self.config("name", name)
+
+        def master(self, master):
+            return self.config("master", master)
+
+        def config(self, key, value):
+            self.seen[key] = value
+            return self
+
+        def getOrCreate(self):
+            return self
+
+    class Session:
+        builder = None
+
+    def options(*args, **how):
+        Session.builder = Builder()
+        return session.open_session(*args, **how).seen
+
+    monkeypatch.setattr(session, "SparkSession", Session)
+    assert "master" not in options()
+    assert options(master="local[2]")["master"] == "local[2]"
+    assert options(extra={"spark.checkpoint.dir": "/shared"})["spark.checkpoint.dir"] == "/shared"
+    assert main.arguments(["--debug", "p"]) == main.Arguments("p", debug=True)
+    assert main.arguments(["--checkpoint-dir", "/s", "--master", "local[1]", "p"]) == main.Arguments(
+        "p", checkpoint_dir="/s", master="local[1]")
+    with pytest.raises(SystemExit):
+        main.arguments([])
 
 
 def test_prepared_vectors_equal_the_lazy_plan(postings_df):
