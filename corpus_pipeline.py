@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postcluster.llm import bpe, decontaminate, minhash_dedup, substring_dedup, toxicity
-from postcluster.llm.frames import ROW, cut
+from postcluster.llm.frames import ROW, cut, find_code
 
 #: Near copies share at least this % of their runs of so many words.
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
@@ -79,6 +79,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` through all stages; each stage's rows are written to the
     shared folder and read again by the next."""
+    find_code(spark)
     docs = _table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postcluster.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, quality, substring_dedup, token_counts, toxicity, url_filter
-from postcluster.llm.frames import ROW
+from postcluster.llm.frames import ROW, find_code
 from postcluster.llm.learning import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ PIECE_FILE = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

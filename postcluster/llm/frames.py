@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -17,6 +18,18 @@ from postcluster.llm.words import slices
 ROW, TEXT = "_row", "_text"
 
 
+def find_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster where it is not there, install it or use ``--py-files``; a
+    folder that an executor lacks does no harm.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def _table_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema, prefers_large_types=False)
 
@@ -30,6 +43,7 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: str,
     of texts (an Arrow string array, about 8 MB) to the new columns.  The
     plan is one map over the scan: no shuffle, and a task holds one slice.
     """
+    find_code(df.sparkSession)
     cols = [F.col(f"`{c}`") for c in keep]
     packed = df.select(F.struct(*cols).alias(ROW), F.col(f"`{text}`").cast("string").alias(TEXT))
     new = T.StructType.fromDDL(fields)
@@ -59,6 +73,7 @@ def cut(df: DataFrame) -> DataFrame:
     Spark deletes the files with the frame if the session's
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` says so.
     """
+    find_code(df.sparkSession)
     if not df.sparkSession.sparkContext.getCheckpointDir():
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return df.checkpoint(eager=True)
