@@ -34,10 +34,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     without an id all stay; of a repeated row one stays."""
     near = minhash_dedup.near_documents(docs, NEAR_SHINGLE, NEAR_PERCENT)
     stays = near.where("kept").select(F.col("id").alias("_id"), F.col("th").alias("_stay"))
-    keyed = docs.withColumn("_th", F.xxhash64("text"))
-    found = keyed.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_stay")), "left_semi")
-    unnamed = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return found.withColumn("_unnamed", unnamed).dropDuplicates(["doc_id", "_th", "_unnamed"]).select(*docs.columns)
+    named = docs.where("doc_id IS NOT NULL").withColumn("_th", F.xxhash64("text"))
+    # The join's exchange of the texts serves the removal of repeated rows too.
+    found = named.join(stays, (F.col("doc_id") == F.col("_id")) & (F.col("_th") == F.col("_stay")), "left_semi")
+    return found.dropDuplicates(["doc_id", "_th"]).select(*docs.columns).union(docs.where("doc_id IS NULL"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
