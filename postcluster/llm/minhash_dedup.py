@@ -8,23 +8,27 @@ whose sets have a Jaccard similarity of at least ``percent`` % are linked.
    permutation, a bin per token, empty bins filled from fixed other bins).
 3. **Chosen paths.**  In each of ``TREES`` independent trees, a node selects
    tokens by a hash of itself and sends a set to the child named by the set's
-   value there.  The root selects one token, larger nodes ``BRANCHES`` of
-   them, so that a similar pair is likelier to stay together the deeper it
-   goes.  Nodes of up to ``LEAF`` sets are leaves; larger ones branch again.
-4. **Leaves** are compared exhaustively by signature; pairs that might reach
-   the threshold are candidates.  A leaf that is still larger at the last
-   level (very many near copies) is first compared in chunks around one set;
-   what its largest confirmed group does not hold is then compared with all of
-   the leaf, chunk by chunk.
-5. **Full sets** confirm candidates.  Candidates that hang together travel as
-   one group of whole texts, each once, and are confirmed from the most
-   similar down, skipping pairs that are connected already.  Groups with more
-   than ``GROUP_SHINGLES`` shingles are confirmed pair by pair instead, spanning
-   pairs first and then only pairs between different components.
-
-The rows are the same whatever the layout; of links at the threshold itself a
-tree misses under a quarter, so eight trees miss one in 60,000, and links of
-more similar pairs far fewer.
+   value there: one token at the root, ``BRANCHES`` of them at larger nodes,
+   level by level.  Nodes of up to ``LEAF`` sets are leaves, and so are those
+   still larger at the last level (many near copies; compared in chunks
+   around one set).
+4. **Leaves** are compared exhaustively by signature.  Of the pairs that might
+   reach the threshold, a leaf sends a spanning forest, so never more pairs
+   than sets.  What hangs together through them is a group; a similar pair of
+   one leaf is always in one group.
+5. **Full sets** confirm.  A group's texts travel once.  Its forest is
+   confirmed from the most similar pair down; then sets outside its largest
+   component are compared with all of the group that is not yet connected, by
+   signature and then by full set.  No pair leaves the task.  A group with more
+   than ``GROUP_SHINGLES`` shingles is not brought together: its forest is
+   confirmed pair by pair, and then, leaf by leaf and chunk by chunk, what the
+   largest confirmed component of the leaf does not hold.
+
+The rows are the same whatever the layout.  A link at the threshold itself
+shares a leaf of a tree with a probability of 0.85, so eight trees miss one in
+four million; where its documents consist mostly of very common runs, whose
+nodes branch, of 0.59 (one in a thousand).  More similar pairs are missed far
+more rarely, and a missed link changes a row only if no other path connects.
 """
 
 from __future__ import annotations
@@ -44,9 +48,10 @@ from postcluster.llm.words import mix64, scan, seeds64
 SHINGLE, PERCENT = 3, 85
 TOKENS = 64
 TREES = 8
-BRANCHES = 2
+#: Tokens that a node selects, by its level below the root.
+BRANCHES = (2, 1, 2, 1)
 LEAF = 64
-LEVELS = 7
+LEVELS = 1 + len(BRANCHES)
 CHUNK = 512
 #: A signature may underrate a pair by this much (over four deviations).
 SLACK = 0.20
@@ -138,19 +143,20 @@ def _children(node: np.ndarray, sig: np.ndarray, branch: int) -> np.ndarray:
         return mix64(mix64(node * _ROOTS[branch] + token) + chosen)
 
 
-def _grow(roots: bool):
-    """Rows (node, rep, n) of the next level, from (node, rep, n, sig)."""
+def _grow(branches: int):
+    """Rows (node, rep) of the next level, from (node, rep, sig); with 0, the
+    first level of all trees, from (rep, sig)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig = _tokens(batch.column("sig"))
-            starts = ([(np.full(batch.num_rows, _ROOTS[-1 - t]), 0) for t in range(TREES)] if roots else
-                      [(batch.column("node").to_numpy().view(np.uint64), b) for b in range(BRANCHES)])
+            starts = ([(batch.column("node").to_numpy().view(np.uint64), b) for b in range(branches)] if branches else
+                      [(np.full(batch.num_rows, _ROOTS[-1 - t]), 0) for t in range(TREES)])
             for node, branch in starts:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_children(node, sig, branch).view(np.int64)), batch.column("rep"), batch.column("n")],
-                    names=["node", "rep", "n"])
+                    [pa.array(_children(node, sig, branch).view(np.int64)), batch.column("rep")],
+                    names=["node", "rep"])
     return run
 
 
@@ -192,89 +198,89 @@ def _spanning(i: np.ndarray, j: np.ndarray, equal: np.ndarray, size: int) -> np.
     return mark
 
 
-CANDIDATES = "a long, b long, equal int, spans boolean"
+PAIRS = "a long, b long, equal int"
 
 
 def _compare_leaf(percent: int, probing: bool):
+    """(rep, n, sig) of a leaf -> a spanning forest of its similar pairs; with
+    ``probing``, all similar pairs of the rows marked ``probe`` with others of
+    another ``group``."""
     least = percent / 100 - SLACK
 
     def run(table: pa.Table) -> pa.Table:
         rep, n = table.column("rep").to_numpy(), table.column("n").to_numpy()
         sig = _tokens(table.column("sig"))
-        probes = table.column("probe").to_numpy() if probing else None
-        i, j, equal = _pairs_of(rep, n, sig, least, percent, probes)
-        spans = _spanning(i, j, equal, len(rep))
+        if probing:
+            group = table.column("group").to_numpy()
+            i, j, equal = _pairs_of(rep, n, sig, least, percent, table.column("probe").to_numpy())
+            use = group[i] != group[j]
+        else:
+            i, j, equal = _pairs_of(rep, n, sig, least, percent)
+            use = _spanning(i, j, equal, len(rep))
+        i, j, equal = i[use], j[use], equal[use]
         a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
-                         "equal": pa.array(equal, pa.int32()), "spans": pa.array(spans)})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "equal": pa.array(equal, pa.int32())})
     return run
 
 
+def _distinct(pairs: DataFrame) -> DataFrame:
+    return cut(pairs.groupBy("a", "b").agg(F.max("equal").alias("equal")))
+
+
+_CHUNKS = "CAST(ceil(size / {}) AS BIGINT)"
+
+
 def candidates(reps: DataFrame, percent: int = PERCENT, leaf: int = LEAF,
-               levels: int = LEVELS) -> tuple[DataFrame, DataFrame | None]:
-    """``a, b, equal, spans`` from ``rep, n, sig``: distinct pairs to confirm;
-    and the rows ``node, rep, size`` of the leaves beyond the limit, if any."""
+               levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """``a, b, equal`` from ``rep, n, sig``: the leaves' spanning pairs; and
+    the leaves, ``node, rep, size``."""
     by_rep = reps.select("rep", "n", "sig")
-    rows = by_rep.mapInArrow(_grow(True), "node long, rep long, n long")
-    found = None
+    rows = by_rep.select("rep", "sig").mapInArrow(_grow(0), "node long, rep long")
+    found = leaves = None
     for level in range(1, levels + 1):
         rows = cut(rows)
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        sized = cut(rows.join(sizes, "node"))
+        sized = cut(rows.join(sizes, "node").select("node", "rep", "size"))
         small, large = sized.where(F.col("size") <= leaf), sized.where(F.col("size") > leaf)
-        leaves = small.select("node", "rep").join(by_rep, "rep")
-        pairs = leaves.groupBy("node").applyInArrow(_compare_leaf(percent, False), CANDIDATES)
+        pairs = small.join(by_rep, "rep").groupBy("node").applyInArrow(_compare_leaf(percent, False), PAIRS)
         found = pairs if found is None else found.union(pairs)
+        leaves = small if leaves is None else leaves.union(small)
         if large.isEmpty():
-            return _distinct(found), None
+            return _distinct(found), leaves
         if level < levels:
-            rows = large.select("node", "rep").join(by_rep, "rep").mapInArrow(
-                _grow(False), "node long, rep long, n long").distinct()
-    large = large.select("node", "rep", "size")
-    return _distinct(found.union(_stars(large, by_rep, percent))), large
-
-
-def _distinct(pairs: DataFrame) -> DataFrame:
-    return cut(pairs.groupBy("a", "b").agg(F.max("equal").alias("equal"), F.max("spans").alias("spans")))
-
-
-_CHUNKS = "CAST(ceil(size / {}) AS BIGINT)"
+            rows = large.join(by_rep, "rep").select("node", "rep", "sig").mapInArrow(
+                _grow(BRANCHES[(level - 1) % len(BRANCHES)]), "node long, rep long").distinct()
+    return _distinct(found.union(_stars(large, by_rep, percent))), leaves.union(large)
 
 
 def _stars(large: DataFrame, by_rep: DataFrame, percent: int) -> DataFrame:
-    """Candidates of large leaves: chunks of about ``CHUNK`` sets, each with
-    the leaf's smallest set as a common member."""
+    """Spanning pairs of large leaves: chunks of about ``CHUNK`` sets, each
+    with the leaf's smallest set as a common member."""
     chunks = F.expr(_CHUNKS.format(CHUNK))
-    dealt = large.select("node", "rep", F.pmod(F.xxhash64("rep"), chunks).alias("chunk"))
+    dealt = large.select("node", "rep", F.pmod(F.xxhash64("rep", "node"), chunks).alias("chunk"))
     pivots = large.groupBy("node", "size").agg(F.min("rep").alias("rep")).select(
         "node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
     return dealt.union(pivots).distinct().join(by_rep, "rep").groupBy("node", "chunk").applyInArrow(
-        _compare_leaf(percent, False), CANDIDATES)
+        _compare_leaf(percent, False), PAIRS)
 
 
-def _strays(large: DataFrame, by_rep: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Candidates that the stars of large leaves leave out: the sets outside
-    the confirmed group that holds most of their leaf, with all of the leaf."""
+def _strays(leaves: DataFrame, by_rep: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Similar pairs of leaves (``node, rep, size``) that no confirmed group
+    (``id, component``) holds: the sets outside the group that holds most of
+    their leaf, with all of the leaf."""
     chunks = F.expr(_CHUNKS.format(CHUNK))
-    grouped = large.join(groups, F.col("rep") == F.col("id"), "left").select(
+    grouped = leaves.join(groups, F.col("rep") == F.col("id"), "left").select(
         "node", "rep", "size", F.coalesce("component", "rep").alias("group"))
     counts = grouped.groupBy("node", "group").agg(F.count("*").alias("members"))
     main = counts.groupBy("node").agg(F.max_by("group", F.struct("members", "group")).alias("main"))
     grouped = cut(grouped.join(main, "node"))
-    base = grouped.select("node", F.pmod(F.xxhash64("rep"), chunks).alias("chunk"), "rep", F.lit(False).alias("probe"))
+    base = grouped.select("node", F.pmod(F.xxhash64("rep", "node"), chunks).alias("chunk"), "rep", "group",
+                          F.lit(False).alias("probe"))
     probes = grouped.where(F.col("group") != F.col("main")).select(
-        "node", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), "rep",
+        "node", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), "rep", "group",
         F.lit(True).alias("probe"))
-    pairs = base.union(probes).join(by_rep, "rep").groupBy("node", "chunk").applyInArrow(
-        _compare_leaf(percent, True), CANDIDATES)
-    of = groups.select(F.col("id").alias("member"), "component")
-
-    def group_of(end: str) -> DataFrame:
-        return of.select(F.col("member").alias(end), F.col("component").alias(f"{end}_group"))
-
-    apart = pairs.join(group_of("a"), "a", "left").join(group_of("b"), "b", "left").where(
-        F.coalesce("a_group", "a") != F.coalesce("b_group", "b"))
-    return _distinct(apart.select("a", "b", "equal", "spans"))
+    return _distinct(base.union(probes).join(by_rep, "rep").groupBy("node", "chunk").applyInArrow(
+        _compare_leaf(percent, True), PAIRS))
 
 
 # --- confirmation on full sets ---------------------------------------------------
@@ -285,14 +291,13 @@ def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _confirm_group(shingle: int, percent: int):
-    """(pairs, texts) of one group -> confirmed links that span it."""
+    """(spanning pairs, texts) of one group -> confirmed links that connect
+    whatever similar pairs of the group connect."""
     def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
-        ids = texts.column("id").to_pylist()
-        at = {d: k for k, d in enumerate(ids)}
+        ids = texts.column("id").to_numpy()
+        at = {d: k for k, d in enumerate(ids.tolist())}
         column = texts.column("text").combine_chunks()
         sets = shingle_sets(column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks), shingle)
-        i = np.array([at[a] for a in pairs.column("a").to_pylist()], np.int64)
-        j = np.array([at[b] for b in pairs.column("b").to_pylist()], np.int64)
         up, out = list(range(len(ids))), []
 
         def root(x: int) -> int:
@@ -301,12 +306,26 @@ def _confirm_group(shingle: int, percent: int):
                 x = up[x]
             return x
 
-        equal = pairs.column("equal").to_numpy()
-        for k in np.lexsort((j, i, -equal)).tolist():
-            a, b = root(int(i[k])), root(int(j[k]))
-            if a != b and reaches(sets[i[k]], sets[j[k]], percent):
-                up[a] = b
-                out.append((ids[i[k]], ids[j[k]]))
+        def confirm(i: np.ndarray, j: np.ndarray, equal: np.ndarray) -> None:
+            for k in np.lexsort((j, i, -equal)).tolist():
+                a, b = root(int(i[k])), root(int(j[k]))
+                if a != b and reaches(sets[i[k]], sets[j[k]], percent):
+                    up[a] = b
+                    out.append((ids[i[k]], ids[j[k]]))
+
+        confirm(np.array([at[a] for a in pairs.column("a").to_pylist()], np.int64),
+                np.array([at[b] for b in pairs.column("b").to_pylist()], np.int64), pairs.column("equal").to_numpy())
+        roots = np.array([root(x) for x in range(len(ids))])
+        component, members = np.unique(roots, return_counts=True)
+        if len(component) > 1:
+            strays = np.flatnonzero(roots != component[members.argmax()])
+            n, sig = np.array([len(s) for s in sets]), signatures(sets)
+            for part in np.array_split(strays, 1 + len(strays) // 64):
+                probes = np.zeros(len(ids), bool)
+                probes[part] = True
+                i, j, equal = _pairs_of(ids, n, sig, percent / 100 - SLACK, percent, probes)
+                apart = roots[i] != roots[j]
+                confirm(i[apart], j[apart], equal[apart])
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()),
                          "b": pa.array([y for _, y in out], pa.int64())})
     return run
@@ -327,13 +346,12 @@ def _confirm_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         run, "a long, b long")
 
 
-def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, shingle: int, percent: int,
+def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, leaves: DataFrame, shingle: int, percent: int,
           group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """Confirmed links ``a, b`` that connect whatever ``pairs`` connects.
-    ``docs`` has ``id, th, text``."""
-    groups = components(pairs)
+    """Confirmed links ``a, b`` that connect whatever similar pairs of the
+    leaves connect.  ``docs`` has ``id, th, text``."""
     member = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(
-        groups, "id", "left").select("id", F.coalesce("component", "id").alias("group"))
+        components(pairs.select("a", "b")), "id", "left").select("id", F.coalesce("component", "id").alias("group"))
     member = member.join(reps.select(F.col("rep").alias("id"), "th", "n"), "id")
     weight = member.groupBy("group").agg(F.sum("n").alias("weight"))
     member = cut(member.join(weight, "group").withColumn("whole", F.col("weight") <= group_shingles))
@@ -346,16 +364,11 @@ def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, shingle: int, perc
         return cut(small)
     sets = cut(map_texts(texts.where("NOT whole"), "text", ["id"], "members binary", lambda: lambda part: [
         pa.array([s.tobytes() for s in shingle_sets(part, shingle)], pa.binary())]).select(f"{ROW}.id", "members"))
-    rest = cut(of_pair.where("NOT small"))
-    spanning = cut(_confirm_pairs(rest.where("spans"), sets, percent))
-    joined = components(spanning)
-
-    def grouped(end: str) -> DataFrame:
-        return joined.select(F.col("id").alias(end), F.col("component").alias(f"{end}_group"))
-
-    apart = rest.where("NOT spans").join(grouped("a"), "a", "left").join(grouped("b"), "b", "left").where(
-        F.coalesce("a_group", "a") != F.coalesce("b_group", "b"))
-    return cut(small.union(spanning).union(_confirm_pairs(apart, sets, percent)))
+    spanning = cut(_confirm_pairs(of_pair.where("NOT small"), sets, percent))
+    open_leaves = leaves.join(member.where("NOT whole").select(F.col("id").alias("rep")), "rep", "left_semi")
+    strays = _strays(open_leaves.select("node", "rep", "size"), reps.select("rep", "n", "sig"),
+                     components(spanning), percent)
+    return cut(small.union(spanning).union(_confirm_pairs(strays, sets, percent)))
 
 
 def near_documents(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, text: str = "text",
@@ -373,15 +386,11 @@ def near_documents(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     reps = cut(signed.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("k1", "k2").agg(
         F.min(F.struct("id", "th")).alias("r"), F.first("n").alias("n"), F.first("sig").alias("sig"),
     ).select("k1", "k2", F.col("r.id").alias("rep"), F.col("r.th").alias("th"), "n", "sig"))
-    pairs, large = candidates(reps, percent, leaf, levels)
+    pairs, leaves = candidates(reps, percent, leaf, levels)
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                      F.xxhash64(F.col(f"`{text}`").cast("string")).alias("th"),
                      F.col(f"`{text}`").cast("string").alias("text"))
-    linked = links(docs, reps, pairs, shingle, percent, group_shingles)
-    groups = components(linked)
-    if large is not None:
-        more = _strays(large, reps.select("rep", "n", "sig"), groups, percent)
-        groups = components(linked.union(links(docs, reps, more, shingle, percent, group_shingles)))
+    groups = components(links(docs, reps, pairs, leaves, shingle, percent, group_shingles))
     known = reps.select("k1", "k2", "rep").join(groups, F.col("rep") == F.col("id"), "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component"))
     empty = (F.col("n") == 0) | F.col("id").isNull()
