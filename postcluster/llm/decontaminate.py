@@ -40,9 +40,11 @@ from postcluster.llm.words import mix64, scan, seeds64
 SIMILARITY = 0.8
 #: Steps of the walk, by the smallest item that each is for.
 STEPS = (1, 2, 4, 8, 12)
-REPEATS = 3
+REPEATS = 5
 SAMPLED = 6
 BLOCK_WORDS = 1_000_000
+#: Windows that walk together.
+WALK_BLOCK = 1 << 14
 #: Keys are first looked up in a table of this many bits.
 TABLE_BITS = 20
 
@@ -57,31 +59,29 @@ def places(repeat: int, steps: int) -> list[int]:
     return sorted(order[:SAMPLED].tolist())
 
 
-def walk_keys(hashes: np.ndarray, limit: np.ndarray, repeat: int, steps: int) -> np.ndarray:
+def walk_keys(hashes: np.ndarray, repeat: int, steps: int) -> np.ndarray:
     """The key of the window that starts at each word.
 
-    ``limit[i]``: one past the last word of word i's text.  Beyond it the
-    pointer sees padding.
+    A window may run on into the next text (or the padding behind the last).
+    It can then match an item by chance only, and verification keeps to the
+    text; windows of items never leave their item.
     """
-    n = len(hashes)
-    seen = np.append(hashes, np.uint64(0x1234567))  # entry n is the padding
-    bits = mix64(seen ^ _WALKS[repeat])             # bit j: does the pointer move on at step j
-    at = np.arange(n)
-    kept = places(repeat, steps)
-    key = np.full(n, np.uint64(steps))
-    prime = np.uint64(0x9E3779B97F4A7C15)
+    n, kept = len(hashes), places(repeat, steps)
+    seen = np.append(hashes, np.full(steps, np.uint64(0x1234567)))
+    moves = mix64(seen ^ _WALKS[repeat]).astype(np.uint16)  # bit j: does the pointer move on at step j
+    keys, prime, one = np.empty(n, np.uint64), np.uint64(0x9E3779B97F4A7C15), np.uint16(1)
     with np.errstate(over="ignore"):
-        for step in range(max(kept) + 1):
-            under = bits[at]
-            if step in kept:
-                key = (key ^ under) * prime
-                key ^= key >> np.uint64(29)
-            at += ((under >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
-            over = at >= limit
-            if over.any():
-                at[over] = n
-                limit = np.where(over, n + 1, limit)  # padding never moves on
-    return key
+        for a in range(0, n, WALK_BLOCK):  # what a walk touches stays in the cache
+            at = np.arange(a, min(a + WALK_BLOCK, n))
+            key = np.full(len(at), np.uint64(steps))
+            for step in range(kept[-1] + 1):
+                if step in kept:
+                    key *= prime
+                    key += seen[at]
+                if step < kept[-1]:
+                    at += (moves[at] >> np.uint16(step)) & one
+            keys[a:a + len(key)] = key ^ (key >> np.uint64(29))
+    return keys
 
 
 def myers(item: list[int], text: list[int]) -> list[int]:
@@ -137,8 +137,11 @@ class Finder:
         hashes, size = words.hashes(), words.counts
         self.ids = [i for i, _ in items]
         self.words = [hashes[a:b].tolist() for a, b in zip(words.first[:-1], words.first[1:])]
+        self.sizes = size
+        self.distinct = np.array([len(set(w)) for w in self.words], np.int64)
         self.most = [int((1 - similarity) * len(w) + 1e-9) for w in self.words]
         owner = np.repeat(np.arange(len(items)), size)
+        self.item_words = np.unique(self._word_keys(owner, hashes))
         offset = np.arange(len(hashes)) - words.first[owner]
         room = size[owner] - offset
         of_size = np.array([0, *STEPS])[np.searchsorted(STEPS, size, side="right")]
@@ -146,7 +149,7 @@ class Finder:
         for steps in STEPS:
             mine = np.flatnonzero((of_size[owner] == steps) & (room >= steps))
             for repeat in range(REPEATS if len(mine) else 0):
-                key = walk_keys(hashes, words.first[1:][owner], repeat, steps)[mine]
+                key = walk_keys(hashes, repeat, steps)[mine]
                 order = np.argsort(key, kind="stable")
                 table = np.zeros(1 << TABLE_BITS, bool)
                 table[(key & np.uint64(len(table) - 1)).astype(np.int64)] = True
@@ -159,36 +162,62 @@ class Finder:
         if not len(words):
             return out
         hashes = words.hashes()
-        limit = np.repeat(words.first[1:], words.counts)
-        found = []
+        found, last = [], None
         for k in self.keys:
-            at, which = k.matches(walk_keys(hashes, limit, k.repeat, k.steps))
+            at, which = k.matches(walk_keys(hashes, k.repeat, k.steps))
             text = np.searchsorted(words.first, at, side="right") - 1
             found.append(np.stack([text, k.item[which], at - k.offset[which]], axis=1))
         rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-        cuts = np.flatnonzero(np.any(np.diff(rows[:, :2], axis=0) != 0, axis=1)) + 1
-        for group in np.split(rows, cuts) if len(rows) else []:
-            text, item = int(group[0, 0]), int(group[0, 1])
-            best = self._verify(hashes, group[:, 2], item, int(words.first[text]), int(words.first[text + 1]))
-            if best is not None:
-                out[text].append(best)
+        text, item, low, high = self._stretches(hashes, rows, words.first)
+        for k in np.flatnonzero(self._plausible(hashes, item, low, high)).tolist():
+            scores = myers(self.words[item[k]], hashes[low[k]:high[k]].tolist())
+            least = min(scores)
+            if least <= self.most[item[k]]:
+                of_text = out[text[k]]
+                leak = {"item_id": self.ids[item[k]], "distance": least,
+                        "end_word": int(low[k] + scores.index(least) + 1 - words.first[text[k]])}
+                if of_text and last == (text[k], item[k]):  # another stretch of the same text and item
+                    if least < of_text[-1]["distance"]:
+                        of_text[-1] = leak
+                else:
+                    of_text.append(leak)
+                last = (text[k], item[k])
         return out
 
-    def _verify(self, hashes: np.ndarray, starts: np.ndarray, item: int, begin: int, end: int) -> dict | None:
-        """The best stretch near any of the starts (sorted); each word of the
-        text is looked at once."""
-        size, most, best = len(self.words[item]), self.most[item], None
-        low = np.maximum(starts - most, begin)
-        high = np.minimum(starts + size + most, end)
-        new = np.flatnonzero(np.append(True, low[1:] > np.maximum.accumulate(high)[:-1]))
-        for a, b in zip(new, np.append(new[1:], len(low))):
-            part = hashes[int(low[a]):int(high[a:b].max())].tolist()
-            scores = myers(self.words[item], part)
-            least = min(scores, default=most + 1)
-            if least <= most and (best is None or least < best["distance"]):
-                best = {"item_id": self.ids[item], "distance": least,
-                        "end_word": int(low[a]) + scores.index(least) + 1 - begin}
-        return best
+    def _stretches(self, hashes: np.ndarray, rows: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Where the items of candidate rows (text, item, start) can be, with
+        the edits they may have; overlapping stretches of an item are one."""
+        text, item, start = rows.T
+        size, most = self.sizes[item], np.array(self.most, np.int64)[item]
+        low = np.maximum(start - most, first[text])
+        high = np.minimum(start + size + most, first[text + 1])
+        some = low < high  # a chance match across the end of a text may leave none
+        text, item, low, high = text[some], item[some], low[some], high[some]
+        new = np.ones(len(low), bool)
+        new[1:] = (np.diff(text) != 0) | (np.diff(item) != 0) | (low[1:] > high[:-1])
+        at = np.flatnonzero(new)
+        end = np.append(at[1:], len(low))[:len(at)] - 1
+        return text[at], item[at], low[at], high[end]
+
+    def _plausible(self, hashes: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """False where a stretch lacks more of the item's different words than
+        the item may have edits: an edit takes away one word at most."""
+        length = high - low
+        owner = np.repeat(np.arange(len(item)), length)
+        if not len(owner):
+            return np.zeros(len(item), bool)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length) + low[owner]
+        key = self._word_keys(item[owner], hashes[at])
+        place = np.minimum(np.searchsorted(self.item_words, key), len(self.item_words) - 1)
+        have = self.item_words[place] == key
+        pairs = np.unique(owner[have] * np.int64(len(self.item_words)) + place[have])
+        found = np.bincount(pairs // len(self.item_words), minlength=len(item))
+        return found + np.array(self.most, np.int64)[item] >= self.distinct[item]
+
+    @staticmethod
+    def _word_keys(item: np.ndarray, words: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix64(words + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 LEAKS = "array<struct<item_id:long,distance:int,end_word:int>>"
