@@ -27,7 +27,7 @@ whose sets have a Jaccard similarity of at least ``percent`` % are linked.
 The rows are the same whatever the layout.  A link at the threshold itself
 shares a leaf of a tree with a probability of 0.85, so eight trees miss one in
 four million; where its documents consist mostly of very common runs, whose
-nodes branch, of 0.59 (one in a thousand).  More similar pairs are missed far
+nodes branch, of 0.60 (one in 1,500).  More similar pairs are missed far
 more rarely, and a missed link changes a row only if no other path connects.
 """
 
@@ -49,7 +49,7 @@ SHINGLE, PERCENT = 3, 85
 TOKENS = 64
 TREES = 8
 #: Tokens that a node selects, by its level below the root.
-BRANCHES = (2, 1, 2, 1)
+BRANCHES = (2, 1, 1)
 LEAF = 64
 LEVELS = 1 + len(BRANCHES)
 CHUNK = 512
