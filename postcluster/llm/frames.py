@@ -40,7 +40,7 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: str,
     ``fields`` computed from each row's text.
 
     ``make()`` runs once in each task and returns the function from a slice
-    of texts (an Arrow string array, about 8 MB) to the new columns.  The
+    of texts (an Arrow string array, about 4 MB) to the new columns.  The
     plan is one map over the scan: no shuffle, and a task holds one slice.
     """
     find_code(df.sparkSession)

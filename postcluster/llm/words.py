@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many bytes, whatever the batch size.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 SPACE = 0
 ASCII_SPACE = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
