@@ -10,12 +10,14 @@ whose sets have a Jaccard similarity of at least ``percent`` % are linked.
    tokens by a hash of itself and sends a set to the child named by the set's
    value there: one token at the root, ``BRANCHES`` of them at larger nodes,
    level by level.  Nodes of up to ``LEAF`` sets are leaves, and so are those
-   still larger at the last level (many near copies; compared in chunks
-   around one set).
-4. **Leaves** are compared exhaustively by signature.  Of the pairs that might
-   reach the threshold, a leaf sends a spanning forest, so never more pairs
-   than sets.  What hangs together through them is a group; a similar pair of
-   one leaf is always in one group.
+   still larger at the last level.
+4. **Leaves** are compared by signature.  Of the pairs that might reach the
+   threshold, a leaf sends a spanning forest.  Leaves of more than ``CHUNK``
+   sets are dealt into chunks with one set in common; then every set that the
+   pairs so far do not connect with most of its leaf is compared with all of
+   the leaf, in tiles of a chunk and up to ``PROBES`` such sets, and a tile
+   sends a forest of what is not connected yet.  What hangs together is a
+   group; a similar pair of one leaf is always in one group.
 5. **Full sets** confirm.  A group's texts travel once.  Its forest is
    confirmed from the most similar pair down; then sets outside its largest
    component are compared with all of the group that is not yet connected, by
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postcluster.llm.components import components
@@ -53,6 +55,8 @@ BRANCHES = (2, 1, 1)
 LEAF = 64
 LEVELS = 1 + len(BRANCHES)
 CHUNK = 512
+#: Sets that one tile of a large leaf compares with a chunk, about.
+PROBES = 4096
 #: A signature may underrate a pair by this much (over four deviations).
 SLACK = 0.20
 GROUP_SHINGLES = 4_000_000
@@ -161,20 +165,23 @@ def _grow(branches: int):
 
 
 def _pairs_of(rep: np.ndarray, n: np.ndarray, sig: np.ndarray, least: float, percent: int,
-              probes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+              probes: np.ndarray | None = None,
+              base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Candidate pairs (i, j, similar tokens): of all rows, or of ``probes``
-    with all rows."""
+    with all rows (or those marked in ``base``)."""
     first = np.arange(len(rep)) if probes is None else np.flatnonzero(probes)
+    second = np.arange(len(rep)) if base is None else np.flatnonzero(base)
+    rep_2, n_2, sig_2 = rep[second], n[second], sig[second]
     out = []
     for at in range(0, len(first), 64):
         part = first[at:at + 64]
-        equal = (sig[part][:, None, :] == sig[None, :, :]).sum(axis=2)
-        low, high = np.minimum(n[part][:, None], n), np.maximum(n[part][:, None], n)
-        fits = (equal >= least * TOKENS) & (100 * low >= percent * high) & (rep[part][:, None] != rep)
+        equal = (sig[part][:, None, :] == sig_2[None, :, :]).sum(axis=2)
+        low, high = np.minimum(n[part][:, None], n_2), np.maximum(n[part][:, None], n_2)
+        fits = (equal >= least * TOKENS) & (100 * low >= percent * high) & (rep[part][:, None] != rep_2)
         if probes is None:
-            fits &= part[:, None] < np.arange(len(rep))
+            fits &= part[:, None] < second
         i, j = np.nonzero(fits)
-        out.append((part[i], j, equal[i, j]))
+        out.append((part[i], second[j], equal[i, j]))
     if not out:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -201,25 +208,34 @@ def _spanning(i: np.ndarray, j: np.ndarray, equal: np.ndarray, size: int) -> np.
 PAIRS = "a long, b long, equal int"
 
 
-def _compare_leaf(percent: int, probing: bool):
-    """(rep, n, sig) of a leaf -> a spanning forest of its similar pairs; with
-    ``probing``, all similar pairs of the rows marked ``probe`` with others of
-    another ``group``."""
-    least = percent / 100 - SLACK
+def _pair_table(rep: np.ndarray, i: np.ndarray, j: np.ndarray, equal: np.ndarray, use: np.ndarray) -> pa.Table:
+    i, j, equal = i[use], j[use], equal[use]
+    a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "equal": pa.array(equal, pa.int32())})
 
+
+def _compare_leaf(percent: int):
+    """(rep, n, sig) of a leaf -> a spanning forest of its similar pairs."""
     def run(table: pa.Table) -> pa.Table:
         rep, n = table.column("rep").to_numpy(), table.column("n").to_numpy()
-        sig = _tokens(table.column("sig"))
-        if probing:
-            group = table.column("group").to_numpy()
-            i, j, equal = _pairs_of(rep, n, sig, least, percent, table.column("probe").to_numpy())
-            use = group[i] != group[j]
-        else:
-            i, j, equal = _pairs_of(rep, n, sig, least, percent)
-            use = _spanning(i, j, equal, len(rep))
-        i, j, equal = i[use], j[use], equal[use]
-        a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "equal": pa.array(equal, pa.int32())})
+        i, j, equal = _pairs_of(rep, n, _tokens(table.column("sig")), percent / 100 - SLACK, percent)
+        return _pair_table(rep, i, j, equal, _spanning(i, j, equal, len(rep)))
+    return run
+
+
+def _compare_tile(percent: int, spanning: bool):
+    """(rep, n, sig, group, stray, probe) of a tile -> similar pairs of the rows
+    marked ``probe`` with others of another ``group``; with ``spanning``, a
+    forest of them that connects the same groups.  Two strays meet in two tiles
+    and are compared in one."""
+    def run(table: pa.Table) -> pa.Table:
+        rep, n, group, probe, stray = (table.column(c).to_numpy() for c in ("rep", "n", "group", "probe", "stray"))
+        i, j, equal = _pairs_of(rep, n, _tokens(table.column("sig")), percent / 100 - SLACK, percent, probe, ~probe)
+        use = (group[i] != group[j]) & (~stray[j] | (rep[i] < rep[j]))
+        if spanning:
+            groups, of = np.unique(group, return_inverse=True)
+            use[use] = _spanning(of[i[use]], of[j[use]], equal[use], len(groups))
+        return _pair_table(rep, i, j, equal, use)
     return run
 
 
@@ -228,6 +244,7 @@ def _distinct(pairs: DataFrame) -> DataFrame:
 
 
 _CHUNKS = "CAST(ceil(size / {}) AS BIGINT)"
+_PARTS = "CAST(ceil(outside / {}) AS BIGINT)"
 
 
 def candidates(reps: DataFrame, percent: int = PERCENT, leaf: int = LEAF,
@@ -242,7 +259,7 @@ def candidates(reps: DataFrame, percent: int = PERCENT, leaf: int = LEAF,
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         sized = cut(rows.join(sizes, "node").select("node", "rep", "size"))
         small, large = sized.where(F.col("size") <= leaf), sized.where(F.col("size") > leaf)
-        pairs = small.join(by_rep, "rep").groupBy("node").applyInArrow(_compare_leaf(percent, False), PAIRS)
+        pairs = small.join(by_rep, "rep").groupBy("node").applyInArrow(_compare_leaf(percent), PAIRS)
         found = pairs if found is None else found.union(pairs)
         leaves = small if leaves is None else leaves.union(small)
         if large.isEmpty():
@@ -250,7 +267,12 @@ def candidates(reps: DataFrame, percent: int = PERCENT, leaf: int = LEAF,
         if level < levels:
             rows = large.join(by_rep, "rep").select("node", "rep", "sig").mapInArrow(
                 _grow(BRANCHES[(level - 1) % len(BRANCHES)]), "node long, rep long").distinct()
-    return _distinct(found.union(_stars(large, by_rep, percent))), leaves.union(large)
+    found, leaves = _distinct(found.union(_stars(large, by_rep, percent))), leaves.union(large)
+    dealt = large.where(F.col("size") > CHUNK)
+    if dealt.isEmpty():
+        return found, leaves
+    apart = _strays(dealt, by_rep, components(found.select("a", "b")), percent, True)
+    return _distinct(found.union(apart)), leaves
 
 
 def _stars(large: DataFrame, by_rep: DataFrame, percent: int) -> DataFrame:
@@ -261,26 +283,31 @@ def _stars(large: DataFrame, by_rep: DataFrame, percent: int) -> DataFrame:
     pivots = large.groupBy("node", "size").agg(F.min("rep").alias("rep")).select(
         "node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
     return dealt.union(pivots).distinct().join(by_rep, "rep").groupBy("node", "chunk").applyInArrow(
-        _compare_leaf(percent, False), PAIRS)
+        _compare_leaf(percent), PAIRS)
 
 
-def _strays(leaves: DataFrame, by_rep: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Similar pairs of leaves (``node, rep, size``) that no confirmed group
-    (``id, component``) holds: the sets outside the group that holds most of
-    their leaf, with all of the leaf."""
-    chunks = F.expr(_CHUNKS.format(CHUNK))
+def _strays(leaves: DataFrame, by_rep: DataFrame, groups: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Similar pairs of leaves (``node, rep, size``) that no group (``id,
+    component``) holds: the sets outside the group that holds most of their
+    leaf, with all of the leaf.  With ``spanning``, as many as connect them."""
+    chunks, parts = F.expr(_CHUNKS.format(CHUNK)), F.expr(_PARTS.format(PROBES))
     grouped = leaves.join(groups, F.col("rep") == F.col("id"), "left").select(
         "node", "rep", "size", F.coalesce("component", "rep").alias("group"))
     counts = grouped.groupBy("node", "group").agg(F.count("*").alias("members"))
-    main = counts.groupBy("node").agg(F.max_by("group", F.struct("members", "group")).alias("main"))
-    grouped = cut(grouped.join(main, "node"))
-    base = grouped.select("node", F.pmod(F.xxhash64("rep", "node"), chunks).alias("chunk"), "rep", "group",
-                          F.lit(False).alias("probe"))
-    probes = grouped.where(F.col("group") != F.col("main")).select(
-        "node", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), "rep", "group",
-        F.lit(True).alias("probe"))
-    return _distinct(base.union(probes).join(by_rep, "rep").groupBy("node", "chunk").applyInArrow(
-        _compare_leaf(percent, True), PAIRS))
+    main = counts.groupBy("node").agg(F.max_by("group", F.struct("members", "group")).alias("main"),
+                                      (F.sum("members") - F.max("members")).alias("outside"))
+    grouped = cut(grouped.join(main.where("outside > 0"), "node").withColumn("stray", F.col("group") != F.col("main")))
+
+    def each(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+
+    base = grouped.select("node", F.pmod(F.xxhash64("rep", "node"), chunks).alias("chunk"), each(parts).alias("part"),
+                          "rep", "group", "stray", F.lit(False).alias("probe"))
+    probes = grouped.where("stray").select(
+        "node", each(chunks).alias("chunk"), F.pmod(F.xxhash64("node", "rep"), parts).alias("part"),
+        "rep", "group", "stray", F.lit(True).alias("probe"))
+    return _distinct(base.union(probes).join(by_rep, "rep").groupBy("node", "chunk", "part").applyInArrow(
+        _compare_tile(percent, spanning), PAIRS))
 
 
 # --- confirmation on full sets ---------------------------------------------------
@@ -367,7 +394,7 @@ def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, leaves: DataFrame,
     spanning = cut(_confirm_pairs(of_pair.where("NOT small"), sets, percent))
     open_leaves = leaves.join(member.where("NOT whole").select(F.col("id").alias("rep")), "rep", "left_semi")
     strays = _strays(open_leaves.select("node", "rep", "size"), reps.select("rep", "n", "sig"),
-                     components(spanning), percent)
+                     components(spanning), percent, False)
     return cut(small.union(spanning).union(_confirm_pairs(strays, sets, percent)))
 
 

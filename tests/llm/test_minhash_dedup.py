@@ -66,6 +66,20 @@ def test_equals_all_pairs(spark, docs, how, monkeypatch):
     check(got, brute(list(enumerate(texts))))
 
 
+@pytest.mark.parametrize("probes", [4096, 50])
+def test_isolated_pairs_in_one_oversized_leaf(spark, monkeypatch, probes):
+    monkeypatch.setattr(md, "CHUNK", 40)
+    monkeypatch.setattr(md, "PROBES", probes, raising=False)
+    rng = np.random.default_rng(5)
+    sig = np.repeat(rng.integers(0, 1 << 32, (150, md.TOKENS), dtype=np.uint32), 2, axis=0)
+    sig[:, :] = np.where(np.isin(np.arange(md.TOKENS), [
+        int(md.mix64(md._ROOTS[-1 - t:][:1] + md._ROOTS[0])[0] % np.uint64(md.TOKENS)) for t in range(md.TREES)]), 7, sig)
+    reps = spark.createDataFrame([(i, 100, bytearray(s.tobytes())) for i, s in enumerate(sig)], "rep long, n long, sig binary")
+    pairs, leaves = md.candidates(reps, leaf=4, levels=1)
+    assert {r["size"] for r in leaves.collect()} == {300}  # all sets share all leaves
+    assert {(r.a, r.b) for r in pairs.collect()} == {(i, i + 1) for i in range(0, 300, 2)}
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 62, 3000).astype(np.uint64)
