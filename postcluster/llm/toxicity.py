@@ -36,7 +36,7 @@ TERM_WORDS = byte_classes(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B,
 MAX_TERMS = 512          # lexicon entries at most, by toxic texts that hold them
 STEM_LENGTHS = range(4, 8)
 MIN_TEXTS = 3            # toxic texts that must hold a term, at least
-MIN_SHARE = 0.03         # and their share of all toxic texts
+MIN_EVIDENCE = 8.0       # log likelihood ratio: term and label against chance
 MIN_ODDS = 30.0          # toxic against other share of texts
 STEM_WORDS = 5           # different words that a stem must begin
 MAX_STATES = 60_000      # of the determinised automaton
@@ -188,7 +188,14 @@ def learn_lexicon(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
     toxic, other = F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other")
     t, o = (x or 0 for x in texts.agg(toxic, other).first())
     odds = ((F.col("toxic") + 0.5) / F.lit(t + 1)) / ((F.col("other") + 0.5) / F.lit(o + 1))
-    chosen = (F.col("toxic") >= max(MIN_TEXTS, MIN_SHARE * t)) & (odds >= MIN_ODDS)
+    # Of the texts that hold a term, are more toxic than chance gives?  The texts
+    # without it have no part in this, so it is the same for a term of few texts
+    # (of a small language, say) and for one that many could hold.
+    held = F.col("toxic") + F.col("other")
+    evidence = (F.col("toxic") * F.log(F.col("toxic") / held * F.lit((t + o) / max(t, 1)))
+                + F.when(F.col("other") > 0, F.col("other") * F.log(F.col("other") / held * F.lit((t + o) / max(o, 1)))
+                         ).otherwise(0.0))
+    chosen = (F.col("toxic") >= MIN_TEXTS) & (evidence >= MIN_EVIDENCE) & (odds >= MIN_ODDS)
 
     def top(counted: DataFrame) -> list:
         return counted.where(chosen).orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
@@ -266,7 +273,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
 def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> Model:
     """Learn lexicon and weights from at most ``bound`` labelled rows.
 
-    Without any usable label, every score is 0.5 less a hair (nothing is
+    Without any usable label, or any term with enough evidence, every score is 0.5 less a hair (nothing is
     called toxic).
     """
     from postcluster.llm.frames import cut
@@ -284,7 +291,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> Model:
     found = made.select("_row.y", "x").collect()  # bound rows of a few numbers
     x = np.array([r.x for r in found]).reshape(len(found), FEATURES)
     y = np.array([r.y for r in found], float)
-    if len(set(y)) < 2:
+    if len(set(y)) < 2 or not x.any():
         return Model(automaton, np.array([0.0] * FEATURES + [-1e-6]))
     return Model(automaton, fit_logistic(x, y))
 

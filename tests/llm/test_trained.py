@@ -62,6 +62,27 @@ def test_toxicity_on_held_out_rows(spark):
     assert accuracy(got, labels, "toxic") >= 0.97
 
 
+def test_terms_of_a_small_language_are_learned(spark):
+    rng = np.random.default_rng(2)
+
+    def text(*terms):
+        return " ".join([*("".join(rng.choice(list("abcdefghij"), 9)) for _ in range(8)), *terms])
+
+    rows = [(text("moron"), 1) for _ in range(400)] + [(text("zoquete"), 1) for _ in range(8)]
+    rows += [(text("window"), 0) for _ in range(1600)]
+    words, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, y int"))
+    assert words == [b"moron", b"zoquete"]
+
+
+def test_toxicity_recall_in_each_language(spark):
+    docs, labels = (spark.read.parquet(f"{CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    toxic = docs.join(labels.where("toxic = 1"), "doc_id")
+    got = toxicity.score_toxicity(toxic, toxicity.fit(docs, labels), keep=["lang"]).collect()
+    for lang in ("de", "en", "es", "fr"):
+        mine = [r.predicted for r in got if r._row.lang == lang]
+        assert len(mine) > 20 and np.mean(mine) >= 0.9, lang
+
+
 def test_quality_on_held_out_rows(spark):
     got = op10_quality(spark, CHECK).collect()
     labels = spark.read.parquet(f"{CHECK}/labels.parquet")
