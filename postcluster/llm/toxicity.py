@@ -9,7 +9,7 @@
    accepts every word within the edit budget of a term, and every word that
    begins with a stem.  All words of a slice are run through the table
    together, one byte column at a time; nearly all reach the dead state
-   within three bytes.
+   within three bytes.  A large lexicon has several tables.
 3. **Context windows.**  Each hit is weighed by its surroundings: hits between
    quotation marks weigh less, further hits near by weigh more.
 4. **Score.**  A logistic regression over a few sums of hit weights, fitted on
@@ -39,7 +39,8 @@ MIN_TEXTS = 3            # toxic texts that must hold a term, at least
 MIN_EVIDENCE = 8.0       # log likelihood ratio: term and label against chance
 MIN_ODDS = 30.0          # toxic against other share of texts
 STEM_WORDS = 5           # different words that a stem must begin
-MAX_STATES = 60_000      # of the determinised automaton
+MAX_STATES = 60_000      # of one determinised automaton
+TERMS_EACH = 64          # terms of one automaton at most
 WINDOW = 12              # words on each side of a hit
 QUOTES = b"\"\xe2\x80\x9c\xe2\x80\x9d\xc2\xab\xc2\xbb"
 QUOTED_WEIGHT = 0.35
@@ -167,6 +168,38 @@ def build_automaton(words: list[bytes], stems: list[bytes]) -> Automaton:
     return Automaton(classes, np.array(table, np.int32), np.array(kinds, np.uint8))
 
 
+@dataclass
+class Automata:
+    """Automata of parts of a lexicon; every word is run through all of them."""
+
+    parts: list[Automaton]
+
+    def run(self, words) -> np.ndarray:
+        """The kind of each word, as one automaton of the whole lexicon has it:
+        a stem before an exact term before a misspelled one."""
+        rank, kinds = np.array([0, 2, 1, 3], np.uint8), np.array([0, FUZZY, EXACT, STEM], np.uint8)
+        best = np.zeros(len(words), np.uint8)
+        for part in self.parts:
+            np.maximum(best, rank[part.run(words)], out=best)
+        return kinds[best]
+
+
+def build_automata(words: list[bytes], stems: list[bytes]) -> Automata:
+    """Automata that together hold every term; neighbours in the alphabet,
+    which share states, stay together."""
+    terms = sorted([(w, False) for w in words] + [(s, True) for s in stems])
+    todo, parts = [terms[a:a + TERMS_EACH] for a in range(0, len(terms), TERMS_EACH)], []
+    while todo:
+        part = todo.pop()
+        try:
+            parts.append(build_automaton([t for t, stem in part if not stem], [t for t, stem in part if stem]))
+        except TooManyStates:
+            if len(part) == 1:
+                raise
+            todo += [part[:len(part) // 2], part[len(part) // 2:]]
+    return Automata(parts)
+
+
 def learn_lexicon(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
     """Words and stems from ``text, y``; at most ``MAX_TERMS`` of each reach
     the driver.
@@ -218,7 +251,7 @@ def learn_lexicon(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
     return [w.encode() for w in exact], [s.encode() for s in stems]
 
 
-def features(texts: pa.Array, automaton: Automaton) -> np.ndarray:
+def features(texts: pa.Array, automaton: Automaton | Automata) -> np.ndarray:
     """Sums of hit weights of each text, float64[texts, FEATURES]."""
     words = scan(texts, TERM_WORDS, lower=True)
     out = np.zeros((len(texts), FEATURES))
@@ -248,7 +281,7 @@ def features(texts: pa.Array, automaton: Automaton) -> np.ndarray:
 
 @dataclass
 class Model:
-    automaton: Automaton
+    automaton: Automata
     weights: np.ndarray  # FEATURES + 1, the last is the bias
 
     def scores(self, texts: pa.Array) -> np.ndarray:
@@ -279,13 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> Model:
     from postcluster.llm.frames import cut
 
     rows = cut(fit_rows(docs, labels, "toxic", bound))
-    words, stems = learn_lexicon(rows)
-    while True:
-        try:
-            automaton = build_automaton(words, stems)
-            break
-        except TooManyStates:  # keep the terms of most toxic texts
-            words, stems = words[:len(words) // 2], stems[:max(1, len(stems) // 2)]
+    automaton = build_automata(*learn_lexicon(rows))
     made = map_texts(rows, "text", ["y"], "x array<double>",
                      lambda: lambda texts: [pa.array(list(features(texts, automaton)), pa.list_(pa.float64()))])
     found = made.select("_row.y", "x").collect()  # bound rows of a few numbers

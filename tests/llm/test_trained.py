@@ -40,6 +40,19 @@ def test_automaton_equals_edit_distance():
         assert kind == want, word
 
 
+def test_a_lexicon_beyond_one_automaton_keeps_all_terms(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_STATES", 250)
+    rng = np.random.default_rng(4)
+    terms = [bytes(rng.choice(list(b"abcdefghijklmnop"), 8).tolist()) for _ in range(12)]
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda rows: (terms, [b"xylo", b"zzzz"]))
+    none = spark.createDataFrame([], "doc_id long, text string, toxic int")
+    automaton = toxicity.fit(none.drop("toxic"), none.drop("text")).automaton
+    words = [*terms, *(t[:3] + t[4:] for t in terms), b"xylophon", b"zzzz", b"other"]
+    scanned = scan(pa.array([" ".join(w.decode() for w in words)]), toxicity.TERM_WORDS, lower=True)
+    want = [toxicity.EXACT] * 12 + [toxicity.FUZZY] * 12 + [toxicity.STEM] * 2 + [0]
+    assert automaton.run(scanned).tolist() == want
+
+
 def test_quotation_weighs_less():
     automaton = toxicity.build_automaton([b"moron"], [])
     plain, quoted = toxicity.features(pa.array(["you moron there", 'he wrote "moron" there']), automaton)
