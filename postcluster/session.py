@@ -85,6 +85,23 @@ def _new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def track(spark: SparkSession, path: str) -> None:
+    """Let :func:`discard_all` delete a folder that someone else has written."""
+    _OPEN[path] = spark
+
+
+def open_folders(spark: SparkSession) -> set[str]:
+    """The intermediates of the session that are not deleted yet."""
+    return {path for path, owner in _OPEN.items() if owner is spark}
+
+
+def discard(spark: SparkSession, paths: set[str]) -> None:
+    """Delete some intermediates.  Frames that read them must not be used afterwards."""
+    for path in paths & open_folders(spark):
+        _delete(spark, path)
+        del _OPEN[path]
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     """Delete a folder; an error is the caller's to see."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -97,9 +114,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def discard_all(spark: SparkSession) -> None:
     """Delete every intermediate that the session has written and not yet
     deleted.  Frames that read them must not be used afterwards."""
-    for path in [p for p, owner in _OPEN.items() if owner is spark]:
-        _delete(spark, path)
-        del _OPEN[path]
+    discard(spark, open_folders(spark))
 
 
 @dataclass
