@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postcluster.llm import bpe, decontaminate, embedding_dedup, licenses, minhash_dedup, quality, substring_dedup, token_counts, toxicity, url_filter
+from postcluster.llm import (
+    bpe,
+    decontaminate,
+    embedding_dedup,
+    licenses,
+    minhash_dedup,
+    mixing,
+    quality,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from postcluster.llm.frames import ROW, find_code
 from postcluster.llm.learning import held_out
 
@@ -81,6 +93,53 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(f"{ROW}.doc_id", held_out(F.col(f"{ROW}.doc_id")).alias("held_out"), "score", "predicted")
 
 
+#: What a document's label makes of its chance in the mix.
+QUALITY_WEIGHTS = {0: 0.5, 1: 2.0}
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = F.create_map(*[F.lit(x) for pair in QUALITY_WEIGHTS.items() for x in pair])
+    labels = table(spark, sf_dir, "labels").select("doc_id", known[F.col("quality").cast("int")].alias("quality"))
+    done = mixing.mix_sources(table(spark, sf_dir, "documents"), labels, keep=["doc_id"])
+    return done.select(f"{ROW}.doc_id", "size", "source_size", "target", "taken")
+
+
+def _mixing_sql() -> str:
+    """Targets by a recursive rate, keys from the same hash, prefix sums by window."""
+    turn = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(mixing.WEIGHTS))
+    weight = " ".join(f"WHEN {label} THEN {w}" for label, w in QUALITY_WEIGHTS.items())
+    limit = f"{mixing.MOST} * source_size"
+    return f"""
+WITH RECURSIVE good AS (
+  SELECT doc_id, max(CASE quality {weight} END) AS good FROM labels GROUP BY doc_id),
+d AS (
+  SELECT d.doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    (('0x' || substr(md5('{mixing.SEED}:' || d.doc_id), 1, 13))::BIGINT + 0.5) / {float(1 << 52)}::DOUBLE AS u,
+    coalesce(good, 1.0)::DOUBLE AS good
+  FROM documents d LEFT JOIN good g ON g.doc_id = d.doc_id),
+s AS (
+  SELECT *, (CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} {turn} END)::DOUBLE AS w
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)),
+rate(i, r) AS (
+  SELECT 0, 0.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, (SELECT (sum(source_size) - sum(CASE WHEN r * w > {limit} THEN {limit} ELSE 0 END))
+                   / sum(CASE WHEN r * w > {limit} THEN 0.0 ELSE w END) FROM s)
+  FROM rate WHERE i < 30),
+t AS (
+  SELECT source, source_size, least((SELECT max(r) FROM rate) * w, {limit}::DOUBLE) AS target FROM s),
+b AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS epochs FROM t),
+k AS (
+  SELECT d.*, b.source_size, b.target, b.epochs, floor(target + 0.5)::BIGINT - epochs * source_size AS fraction,
+    sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / good, d.doc_id::VARCHAR, size
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+  (epochs * size + greatest(0, least(size, fraction - before)))::BIGINT AS taken
+FROM k"""
+
+
 def _url_sql() -> str:
     """The rules as a CASE; the link graph with its steps written out."""
     ordered = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
@@ -190,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op13_mixing": op13_mixing,
 }
 
 
@@ -197,4 +257,5 @@ def oracle_queries() -> dict[str, str]:
     return {
         "op5_url_filters": _url_sql(),
         "op8_licenses": _licenses_sql(),
+        "op13_mixing": _mixing_sql(),
     }

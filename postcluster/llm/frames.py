@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from postcluster import session
 from postcluster.llm.words import slices
 
 #: Names inside the operators; callers' columns travel in one struct, so no
@@ -70,10 +72,35 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: the rows are written to the shared folder that
     ``spark.checkpoint.dir`` names, so a lost executor rereads them.
 
-    Spark deletes the files with the frame if the session's
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` says so.
+    The files go with :func:`drop`, with the end of a :func:`scope`, with
+    ``session.discard_all`` or, if the session's
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` says so, with the frame.
     """
-    find_code(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
+    spark = df.sparkSession
+    find_code(spark)
+    if not spark.sparkContext.getCheckpointDir():
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    session.track(spark, _folder(done))
+    return done
+
+
+def _folder(cut_frame: DataFrame) -> str:
+    return cut_frame._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+
+
+def drop(*cut_frames: DataFrame) -> None:
+    """Delete the files of frames from :func:`cut` that nothing reads any more."""
+    for frame in cut_frames:
+        session.discard(frame.sparkSession, {_folder(frame)})
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Whatever the operators write inside is deleted at the end; results
+    must be written or collected before."""
+    before = session.open_folders(spark)
+    try:
+        yield
+    finally:
+        session.discard(spark, session.open_folders(spark) - before)
