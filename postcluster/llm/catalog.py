@@ -21,6 +21,7 @@ from postcluster.llm import (
     token_counts,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from postcluster.llm.frames import ROW, find_code
 from postcluster.llm.learning import held_out
@@ -93,6 +94,47 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(f"{ROW}.doc_id", held_out(F.col(f"{ROW}.doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql() -> str:
+    """Every part against every entry, the rounds written out."""
+    parts, entries, scale = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.SCALE
+    steps = []
+    for r in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec, part, arg_min(entry, dist * {entries} + entry) AS entry, min(dist) AS dist FROM (
+    SELECT x.vec, x.part, c.entry, sum((x.x - c.x) * (x.x - c.x)) AS dist
+    FROM comp x JOIN c{r} c ON c.part = x.part AND c.pos = x.pos GROUP BY ALL) GROUP BY ALL)""")
+        if r < vector_codes.ROUNDS:
+            steps.append(f"""m{r} AS (
+  SELECT a.part, a.entry, x.pos, floor_div(sum(x.x), count(*)) AS x
+  FROM a{r} a JOIN comp x ON x.vec = a.vec AND x.part = a.part GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (
+  SELECT c.part, c.entry, c.pos, coalesce(m.x, c.x)::BIGINT AS x
+  FROM c{r} c LEFT JOIN m{r} m ON m.part = c.part AND m.entry = c.entry AND m.pos = c.pos)""")
+    last = vector_codes.ROUNDS
+    steps = ",\n".join(steps).replace("floor_div(sum(x.x), count(*))", "(sum(x.x) - (sum(x.x) % count(*) + count(*)) % count(*)) // count(*)")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS vec, vec_id, label,
+    list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+comp AS MATERIALIZED (
+  SELECT vec, ((i - 1) // (len(v) // {parts}))::INT AS part, ((i - 1) % (len(v) // {parts}))::INT AS pos, x
+  FROM (SELECT vec, v, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept)),
+c0 AS MATERIALIZED (SELECT part, (vec - 1)::INT AS entry, pos, x FROM comp WHERE vec <= {entries}),
+{steps},
+codes AS (
+  SELECT vec, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error
+  FROM a{last} GROUP BY vec)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) FROM c{last}) AS codebooks_sha256
+FROM kept JOIN codes USING (vec)"""
+
+
 #: What a document's label makes of its chance in the mix.
 QUALITY_WEIGHTS = {0: 0.5, 1: 2.0}
 
@@ -249,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op12_vector_codes": op12_vector_codes,
     "op13_mixing": op13_mixing,
 }
 
@@ -257,5 +300,6 @@ def oracle_queries() -> dict[str, str]:
     return {
         "op5_url_filters": _url_sql(),
         "op8_licenses": _licenses_sql(),
+        "op12_vector_codes": _codes_sql(),
         "op13_mixing": _mixing_sql(),
     }
