@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from postcluster.llm import (
     bpe,
+    collocations,
     decontaminate,
     embedding_dedup,
     licenses,
@@ -94,6 +95,50 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(f"{ROW}.doc_id", held_out(F.col(f"{ROW}.doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def _collocations_sql() -> str:
+    """Every phrase of every piece counted, then every cut of the frequent ones."""
+    longest, least = collocations.LONGEST, collocations.LEAST
+    names = [f"w{i}" for i in range(1, longest + 1)]
+    leads = ", ".join(f"lead(w, {i}) OVER x AS w{i + 1}" for i in range(1, longest))
+    counts = "\n  UNION ALL ".join(
+        f"SELECT lang, {k} AS k, [{', '.join(names[:k])}] AS ws, count(*) AS a FROM runs "
+        f"WHERE {names[k - 1]} IS NOT NULL GROUP BY ALL" for k in range(1, longest + 1))
+    return f"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, ws FROM (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece FROM documents))),
+words AS (SELECT lang, piece, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM pieces),
+runs AS (SELECT lang, w AS w1, {leads} FROM words WINDOW x AS (PARTITION BY piece ORDER BY i)),
+total AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+f AS MATERIALIZED (SELECT * FROM ({counts}) WHERE a >= {least}),
+inside AS (
+  SELECT lang, ws, max(a) AS longer FROM (
+    SELECT lang, ws[1:k - 1] AS ws, a FROM f WHERE k > 2
+    UNION ALL SELECT lang, ws[2:k] AS ws, a FROM f WHERE k > 2) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.ws, c.a, j AS cut, l.a AS l, r.a AS r, n,
+    (1000 * c.a::HUGEINT * n) // (l.a::HUGEINT * r.a) AS score
+  FROM (SELECT f.*, unnest(range(1, k)) AS j FROM f WHERE k > 1) c
+  JOIN f l ON l.lang = c.lang AND l.ws = c.ws[1:j]
+  JOIN f r ON r.lang = c.lang AND r.ws = c.ws[j + 1:c.k]
+  JOIN total t ON t.lang = c.lang
+  LEFT JOIN inside i ON i.lang = c.lang AND i.ws = c.ws
+  WHERE i.longer IS NULL OR 100 * i.longer < {collocations.COVERED} * c.a),
+best AS (
+  SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+WHERE rank <= {collocations.TOP}"""
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -291,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op12_vector_codes": op12_vector_codes,
     "op13_mixing": op13_mixing,
 }
@@ -300,6 +346,7 @@ def oracle_queries() -> dict[str, str]:
     return {
         "op5_url_filters": _url_sql(),
         "op8_licenses": _licenses_sql(),
+        "op11_collocations": _collocations_sql(),
         "op12_vector_codes": _codes_sql(),
         "op13_mixing": _mixing_sql(),
     }
