@@ -36,8 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postcluster.llm.frames import TEXT, cut, drop, find_code
-from postcluster.llm.words import Words, byte_classes, mix64, scan, seeds64, slices
+from postcluster.llm.frames import TEXT, cut, find_code
+from postcluster.llm.words import Words, byte_classes, mix64, scan, seeds64, slices, strings
 from postcluster.session import materialize
 
 LONGEST = 5           # words of a phrase at most
@@ -62,15 +62,6 @@ _BREAK = np.uint64(0x0A0A0A0A0A0A0A0B)
 
 # --- the parse ------------------------------------------------------------------
 
-def _joined(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
-    """Strings from ranges of a byte buffer."""
-    ends = np.cumsum(length)
-    at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)
-    offsets = np.concatenate([[0], ends]).astype(np.int32)
-    return pa.Array.from_buffers(pa.string(), len(length), [None, pa.py_buffer(offsets),
-                                                            pa.py_buffer(np.ascontiguousarray(data[at]))])
-
-
 def parse(texts: pa.Array, overlap: int, modulus: int = MODULUS) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(text, last, chunk) of every chunk of some texts; ``last`` marks the
     chunk that ends its text.  Tokens are joined by one space."""
@@ -106,7 +97,7 @@ def parse(texts: pa.Array, overlap: int, modulus: int = MODULUS) -> tuple[np.nda
     letters = np.repeat(at[:-1], length) + np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
     plain[letters] = words.data[np.repeat(words.start, length) + letters - np.repeat(at[:-1], length)]
     plain[at[:-1][breaks]] = 0x0A
-    return of, last, _joined(plain, at[first], at[stop] - 1 - at[first])
+    return of, last, strings(plain, at[first], at[stop] - 1 - at[first]).cast(pa.string())
 
 
 def dictionary(df: DataFrame, text: str, lang: str, overlap: int, modulus: int) -> DataFrame:

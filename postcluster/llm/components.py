@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postcluster.llm.frames import cut
+from postcluster.llm.frames import cut, drop
 
 EDGES = "a long, b long"
 
@@ -79,5 +79,6 @@ def components(edges: DataFrame) -> DataFrame:
         low = _smallest(large, "a", "b")
         small = large.join(low, F.col("a") == F.col("k"))
         small = small.select(F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b"))
-        edges = cut(small.where("a <> b").distinct())
+        before, edges = edges, cut(small.where("a <> b").distinct())
+        drop(before)
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))

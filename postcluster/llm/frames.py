@@ -95,6 +95,12 @@ def drop(*cut_frames: DataFrame) -> None:
         session.discard(frame.sparkSession, {_folder(frame)})
 
 
+def keep_only(spark: SparkSession, before: set[str], *cut_frames: DataFrame) -> None:
+    """Delete what was written since ``before`` (``session.open_folders``), but
+    for some frames from :func:`cut`."""
+    session.discard(spark, session.open_folders(spark) - before - {_folder(f) for f in cut_frames})
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Whatever the operators write inside is deleted at the end; results

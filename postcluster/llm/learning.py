@@ -21,8 +21,9 @@ def fit_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int = FIT_RO
     """``text, y`` of up to ``bound`` labelled rows outside the held-out fold.
 
     A label other than 0 and 1 is no label; an id with several labels has
-    their maximum.  The ids are chosen from the labels alone, so the join
-    meets a table of ``bound`` rows.
+    their maximum, and of an id with several texts the first in order counts.
+    The ids are chosen from the labels alone, so the join meets a table of
+    ``bound`` rows.
     """
     known = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -30,4 +31,4 @@ def fit_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int = FIT_RO
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     )
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(known), "doc_id").select("text", "y")
+    return texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y")

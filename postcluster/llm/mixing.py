@@ -15,8 +15,9 @@
 **Scale.**  No source is ever sorted whole.  Sizes are first added up in
 ``BINS`` ranges of the keys (partly before the shuffle); only the documents of
 the one range where the budget ends are sorted, and documents with one key
-there are one row first.  The sources' table is joined; Spark broadcasts it if
-it is small.  Everything is a DataFrame expression.
+there are one row first.  The sources' table is joined by source and one of
+``SALTS`` numbers, so the documents of a large source are spread over tasks.
+Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Ranges of the keys in which sizes are added up.
 BINS = 4096
+#: Tasks that a source's documents are spread over in joins with the sources.
+SALTS = 64
 SEED = "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -83,6 +86,13 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     return weighed.select("source", "source_size", target.alias("target"))
 
 
+def _of_sources(rows: DataFrame, sources: DataFrame, how: str = "inner") -> DataFrame:
+    """Documents (``source, name``) with their source's row (``of``, null safe)."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)))
+    each = sources.withColumn("of_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(each, F.col("source").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("of_salt")), how)
+
+
 def mix_sources(df: DataFrame, quality: DataFrame | None = None, text: str = "text", source: str = "source",
                 id_col: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, most: int = MOST,
                 keep: list[str] | None = None, bins: int = BINS, seed: str = SEED) -> DataFrame:
@@ -132,7 +142,7 @@ def mix_sources(df: DataFrame, quality: DataFrame | None = None, text: str = "te
     place = F.struct("late", "key", "name", "size")
     part = (F.when(place < F.col("end"), F.col("size")).when(place == F.col("end"), F.col("end_words"))
             .otherwise(F.lit(0)).cast("long"))
-    return rows.join(known, F.col("source").eqNullSafe(F.col("of")), "left").select(
+    return _of_sources(rows, known, "left").select(
         ROW, "size", "source_size", "target", F.col("epochs").cast("long").alias("epochs"), part.alias("part"),
     ).withColumn("taken", F.col("epochs") * F.col("size") + F.col("part"))
 
@@ -143,7 +153,7 @@ def _ends(rows: DataFrame, aims: DataFrame, bins: int) -> DataFrame:
     some = aims.where("left > 0").select("of", "left", "mean")
     early = F.least(F.floor((1 - F.exp(-F.col("key") / F.col("mean"))) * bins), F.lit(bins - 1))
     bin_ = F.when(F.col("late"), bins + F.floor(F.col("key") * bins)).otherwise(early).cast("long")
-    placed = rows.where("size > 0").join(some, F.col("source").eqNullSafe(F.col("of"))).select(
+    placed = _of_sources(rows.where("size > 0"), some).select(
         "source", "left", bin_.alias("bin"), "late", "key", "name", "size")
     sums = placed.groupBy("source", "left", "bin").agg(F.sum("size").alias("words"))
     before = F.sum("words").over(Window.partitionBy("source").orderBy("bin")) - F.col("words")

@@ -8,9 +8,9 @@ that repeated windows cover are removed.
    ``MINIMISER`` words long runs inside it.  Equal windows have equal
    minimisers, and neighbouring windows mostly share one, so consecutive
    windows with one minimiser travel together, as one packed string, to the
-   bucket of that minimiser.  The string holds 48 bits of each window's hash;
-   with the 64 bits of the minimiser a window is told apart by 112 bits.
-   (Packing the words themselves would cost three times the shuffle.)
+   bucket of that minimiser.  The string holds the 64-bit hash of each window
+   (packing the words themselves would cost three times the shuffle), so two
+   windows count as equal when these hashes are.
 2. **Buckets.**  Rows are sorted by minimiser within a partition and streamed;
    sorting the windows of a run of buckets counts them exactly.
 3. Intervals of repeated windows go back to their documents.
@@ -21,7 +21,8 @@ windows that are that common.  They are known to repeat, so tasks mark them
 where they are and send nothing.  Minimisers that stay common without them
 (a common line in ever different surroundings) are split into sub-buckets by
 window hash; equal windows still meet.  The sample changes the work, never
-the result.
+the result.  How finely a bucket is split follows the share that the sample
+shows and the size of the corpus.
 """
 
 from __future__ import annotations
@@ -33,38 +34,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postcluster.llm.frames import ROW, TEXT, cut
-from postcluster.llm.words import ASCII_SPACE, mix64, scan, segment_sums, slices
+from postcluster.llm.frames import ROW, TEXT, cut, drop
+from postcluster.llm.words import ASCII_SPACE, mix64, run_hashes, scan, segment_sums, slices
 
 WIDTH = 35
-MINIMISER = 8
+MINIMISER = 6
 #: Windows in one packed string at most.
 STRING_WINDOWS = 64
-#: Bytes of a window's hash that travel.
-PACKED = 6
+#: A row's place is its first window and the number of its windows in one number.
+COUNT = 1 << 31
 #: Documents looked at for hot content, and what makes it hot there.
 SAMPLE_DOCS = 4000
 HOT_COUNT = 8
 MAX_HOT_WINDOWS, MAX_HOT_BUCKETS = 100_000, 10_000
-SUB_BUCKETS = np.uint64(64)
-#: Packed bytes that a bucket task sorts at a time.
+#: Packed bytes that a bucket task sorts at a time, and that a sub-bucket should have.
 SORT_BYTES = 24 << 20
-
-_BASE = np.uint64(0x9FB21C651E98DF25)
-_BACK = np.uint64(pow(0x9FB21C651E98DF25, -1, 1 << 64))
-
-
-def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of every run of ``width`` consecutive entries."""
-    n = len(words)
-    if n < width:
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, _BASE)]))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(words * up)])
-        down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - width, _BACK)]))
-        return mix64((sums[width:] - sums[:-width]) * down)
-
+SUB_BYTES = 4 << 20
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Smallest of every ``width`` consecutive entries."""
@@ -113,13 +98,15 @@ class Windows:
 
 
 class Hot:
-    """Windows known to repeat, and buckets to split."""
+    """Windows known to repeat, and buckets to split, with the number of parts."""
 
-    def __init__(self, windows: list[tuple[int, int]], buckets: list[int]):
+    def __init__(self, windows: list[tuple[int, int]], buckets: list[tuple[int, int]]):
         pairs = np.array(windows, np.int64).reshape(-1, 2).view(np.uint64)
         order = np.argsort(pairs[:, 0])
         self.hash, self.of = pairs[order, 0], pairs[order, 1]
-        self.buckets = np.sort(np.array(buckets, np.int64).view(np.uint64))
+        split = np.array(buckets, np.int64).reshape(-1, 2).view(np.uint64)
+        order = np.argsort(split[:, 0])
+        self.buckets, self.parts = split[order, 0], split[order, 1]
 
     def repeats(self, w: Windows) -> np.ndarray:
         if not len(self.hash):
@@ -129,9 +116,10 @@ class Hot:
 
     def split(self, w: Windows) -> None:
         if len(self.buckets):
-            hot = np.flatnonzero(np.isin(w.bucket, self.buckets))
+            at = np.minimum(np.searchsorted(self.buckets, w.bucket), len(self.buckets) - 1)
+            hot = np.flatnonzero(self.buckets[at] == w.bucket)
             with np.errstate(over="ignore"):
-                w.bucket[hot] = mix64(w.bucket[hot] + w.hash[hot] % SUB_BUCKETS + np.uint64(1))
+                w.bucket[hot] = mix64(w.bucket[hot] + mix64(w.hash[hot]) % self.parts[at[hot]] + np.uint64(1))
 
 
 def _binary(packed: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -140,7 +128,7 @@ def _binary(packed: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def super_kmers(batches: Iterator[pa.RecordBatch], width: int, hot: Hot) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, row key, start, windows, packed string) of ``_row, _text``.
+    """Rows (bucket, row key, place, packed string) of ``_row, _text``.
     An empty string says that its windows are known to repeat."""
     for batch in batches:
         for part in slices(batch, TEXT):
@@ -156,33 +144,28 @@ def super_kmers(batches: Iterator[pa.RecordBatch], width: int, hot: Hot) -> Iter
                 first = these.runs(STRING_WINDOWS if packs else 1 << 30, packs)
                 size = np.diff(np.append(first, len(these.start)))
                 if packs:
-                    low = these.hash.view(np.uint8).reshape(-1, 8)[:, :PACKED]
-                    packed = _binary(np.ascontiguousarray(low), np.cumsum(size) * PACKED)
+                    packed = _binary(np.ascontiguousarray(these.hash).view(np.uint8), np.cumsum(size) * 8)
                     bucket = these.bucket[first]
                 else:  # any bucket will do: spread them
                     packed = _binary(np.zeros(0, np.uint8), np.zeros(len(first), np.int64))
                     bucket = mix64(these.hash[first] + these.text[first].astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(bucket.view(np.int64)), part.column(ROW).take(pa.array(these.text[first])),
-                    pa.array(these.start[first].astype(np.int32)), pa.array(size.astype(np.int32)), packed,
-                ], names=["bucket", ROW, "start", "n", "packed"])
+                    pa.array(these.start[first] * COUNT + size), packed,
+                ], names=["bucket", ROW, "place", "packed"])
 
 
 def _repeated(rows: pa.Table, width: int) -> pa.RecordBatch:
     """Intervals of the repeated windows of whole buckets, sorted by bucket."""
     rows = rows.combine_chunks()
     bucket = rows.column("bucket").to_numpy()
-    start = rows.column("start").to_numpy().astype(np.int64)
-    n = rows.column("n").to_numpy().astype(np.int64)
+    start, n = np.divmod(rows.column("place").to_numpy(), COUNT)
     packed = rows.column("packed").combine_chunks()
     packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
     marked = packed.is_valid().to_numpy(zero_copy_only=False) & (pa.compute.binary_length(packed).to_numpy() == 0)
     sent = np.where(marked, 0, n)
     offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset:packed.offset + len(packed) + 1]
-    data = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].reshape(-1, PACKED)
-    codes = np.zeros((len(data), 8), np.uint8)
-    codes[:, :PACKED] = data
-    codes = codes.view(np.uint64).reshape(-1)
+    codes = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].copy().view(np.uint64)
     row = np.repeat(np.arange(len(n)), sent)
     group = np.cumsum(np.concatenate([[0], bucket[1:] != bucket[:-1]]))[row]
     order = np.lexsort((codes, group))
@@ -214,7 +197,8 @@ def count_windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
             continue
         held.append(batch)
         size += batch.column("packed").nbytes
-        if size >= SORT_BYTES:
+        begins, ends = held[0].column("bucket")[0], batch.column("bucket")[-1]
+        if size >= SORT_BYTES and begins != ends:  # a bucket that goes on is only gathered
             rows = pa.Table.from_batches(held)
             bucket = rows.column("bucket").to_numpy()
             whole = int(np.searchsorted(bucket, bucket[-1]))  # the last may go on
@@ -248,7 +232,8 @@ def find_hot(keyed: DataFrame, width: int) -> Hot:
     rest = counts.where(F.col("n") < HOT_COUNT).groupBy("bucket").agg(F.sum("n").alias("n"))
     buckets = rest.where(F.col("n") >= HOT_COUNT * MINIMISER).orderBy(F.desc("n"), "bucket").limit(
         MAX_HOT_BUCKETS).collect()
-    return Hot([(r.hash, r.bucket) for r in windows], [r.bucket for r in buckets])
+    drop(counts)
+    return Hot([(r.hash, r.bucket) for r in windows], [(r.bucket, 1 + r.n * part * 8 // SUB_BYTES) for r in buckets])
 
 
 def remove_repeats(df: DataFrame, width: int = WIDTH, text: str = "text", id_col: str = "doc_id",
@@ -268,7 +253,7 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, text: str = "text", id_col
     hot = df.sparkSession.sparkContext.broadcast(find_hot(keyed, width))
     id_type = keyed.schema[ROW].dataType.simpleString()
     rows = keyed.mapInArrow(lambda b: super_kmers(b, width, hot.value),
-                            f"bucket long, {ROW} {id_type}, start int, n int, packed binary")
+                            f"bucket long, {ROW} {id_type}, place long, packed binary")
     sorted_rows = rows.repartition("bucket").sortWithinPartitions("bucket")
     spans = sorted_rows.mapInArrow(lambda b: count_windows(b, width), f"{ROW} {id_type}, low int, high int")
     per_row = spans.groupBy(f"{ROW}.id", f"{ROW}.th").agg(

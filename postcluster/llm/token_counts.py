@@ -62,7 +62,7 @@ class Counter:
         # Every suffix of a piece, with the piece's score if it is one.
         self.ends: dict[str, float | None] = {p[k:]: None for p in pieces.score for k in range(len(p))}
         self.ends |= pieces.score
-        self.cache: dict[int, tuple[int, float]] = {}
+        self.cache: dict[str, tuple[int, float]] = {}
 
     @classmethod
     def of(cls, pieces: Pieces) -> Counter:
@@ -106,15 +106,13 @@ class Counter:
     def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words, pieces and score of each text."""
         words = scan(texts)
-        distinct, at, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [(k, i) for k, i in zip(keys, at.tolist()) if k not in self.cache]
+        coded = words.strings().dictionary_encode()
+        keys, back = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        new = [k for k in keys if k not in self.cache]
         if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache, new = {}, list(zip(keys, at.tolist()))
-        if new:
-            spelled = {WORD_MARK + words.text(i).decode("utf-8", "replace"): k for k, i in new}
-            for word, n, score in self.walk(spelled):
-                self.cache[spelled[word]] = (n, score)
+            self.cache, new = {}, keys
+        for word, n, score in self.walk(WORD_MARK + k for k in new):
+            self.cache[word[len(WORD_MARK):]] = (n, score)
         found = [self.cache[k] for k in keys]
         n = np.array([f[0] for f in found], np.int64)[back] if found else np.zeros(0, np.int64)
         score = np.array([f[1] for f in found], float)[back] if found else np.zeros(0)

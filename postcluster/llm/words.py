@@ -2,14 +2,16 @@
 
 A batch of texts is one byte buffer plus offsets.  Words are the maximal runs
 of bytes of one class (whitespace bytes belong to none), so a whole batch is
-scanned with a few array passes, and a word's 64-bit hash is a sum over its
-bytes that ``np.add.reduceat`` forms in one pass.
+scanned with a few array passes.  A word's 64-bit hash takes eight bytes at a
+time and mixes after each step, so there are no structured clashes (as sums
+over powers of a base have); words beyond ``LONG`` bytes have a BLAKE2 hash.
 
 Null texts count as empty.  A word never spans two texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,19 +62,30 @@ def seeds64(n: int, seed: int) -> np.ndarray:
         return mix64(base + np.uint64(seed)) | np.uint64(1)
 
 
-_BYTE_VALUE = seeds64(256, 11)
-_BASE = np.uint64(0xD6E8FEB86659FD93)
-_POWERS = np.ones(1, np.uint64)
+_STEP, _LENGTH, _LEFT, _RIGHT = seeds64(4, 11)
+#: Bytes of a word that are hashed step by step.
+LONG = 64
+#: The first i bytes of a little-endian number, for i up to 8.
+_FIRST = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
-def _powers(n: int) -> np.ndarray:
-    """``_BASE ** i`` modulo 2**64 for i below ``n`` (grown on demand)."""
-    global _POWERS
-    if len(_POWERS) < n:
-        size = max(n, 2 * len(_POWERS), 256)
-        with np.errstate(over="ignore"):
-            _POWERS = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, _BASE)]).astype(np.uint64))
-    return _POWERS
+def run_hashes(values: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``width`` consecutive numbers: runs of
+    1, 2, 4, ... are joined pairwise, mixed at every join."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, done, size, level = None, 0, 1, values
+    with np.errstate(over="ignore"):
+        while True:
+            if width & size:
+                piece = level[done:done + n]
+                out = piece if out is None else mix64(out * _LEFT + (piece ^ _RIGHT))
+                done += size
+            if 2 * size > width:
+                return out
+            level = mix64(level[:-size] * _LEFT + (level[size:] ^ _RIGHT))
+            size *= 2
 
 
 @dataclass
@@ -98,18 +111,35 @@ class Words:
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        n = len(self.start)
-        if not n:
-            return np.zeros(0, np.uint64)
         length = self.end - self.start
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))  # the 8 bytes from each place on
         with np.errstate(over="ignore"):
-            # Position of every word byte inside its word, and the bytes themselves.
-            skip = np.repeat(np.cumsum(length) - length, length)
-            inside = np.arange(len(skip)) - skip
-            bytes_ = self.data[np.repeat(self.start, length) + inside]
-            terms = _BYTE_VALUE[bytes_] * _powers(int(length.max()))[inside]
-            sums = np.add.reduceat(terms, np.cumsum(length) - length)
-            return mix64(sums + length.astype(np.uint64) * _BASE + np.uint64(seed))
+            out = mix64(length.astype(np.uint64) * _LENGTH + np.uint64(seed))
+            short = np.flatnonzero(length <= LONG)
+            at = self.start[short]
+            while len(short):
+                left = self.end[short] - at
+                out[short] = mix64(out[short] * _STEP + (eight[at] & _FIRST[np.minimum(left, 8)]))
+                more = left > 8
+                short, at = short[more], at[more] + 8
+        for w in np.flatnonzero(length > LONG).tolist():
+            digest = hashlib.blake2b(self.text(w), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+            out[w] = int.from_bytes(digest, "little")
+        return out
+
+    def strings(self) -> pa.Array:
+        """The words as strings (of the bytes as scanned)."""
+        return strings(self.data, self.start, self.end - self.start)
+
+
+def strings(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
+    """Strings from ranges of a byte buffer of valid UTF-8."""
+    ends = np.cumsum(length)
+    at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(length), [
+        None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at]))])
 
 
 def scan(texts: pa.Array, classes: np.ndarray = WORDS, lower: bool = False) -> Words:

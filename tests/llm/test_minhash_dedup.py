@@ -9,7 +9,7 @@ import pytest
 
 from postcluster.llm import minhash_dedup as md
 from postcluster.llm.catalog import op4_minhash_dedup
-from tests.llm.conftest import SF
+from tests.llm.conftest import SF, clashing_words
 
 
 def set_of(text, k=3):
@@ -57,27 +57,82 @@ def corpus(seed=1, families=25, size=8):
     return texts
 
 
-@pytest.mark.parametrize("how", [{}, {"leaf": 4, "levels": 3}, {"leaf": 3, "levels": 2, "group_shingles": 300}])
-def test_equals_all_pairs(spark, docs, how, monkeypatch):
-    if how:
-        monkeypatch.setattr(md, "CHUNK", 5)
+SMALL = {"CHUNK": 5, "TILE_SETS": 6, "PROBES": 3}
+
+
+@pytest.mark.parametrize("leaf,sizes", [(64, {}), (3, {**SMALL, "TILE_SHINGLES": 300, "COMPARED": 256})])
+def test_equals_all_pairs(spark, docs, leaf, sizes, monkeypatch):
+    for name, size in sizes.items():
+        monkeypatch.setattr(md, name, size)
     texts = corpus()
-    got = md.near_documents(docs(texts).repartition(4), **how).collect()
+    got = md.near_documents(docs(texts).repartition(4), leaf=leaf).collect()
     check(got, brute(list(enumerate(texts))))
 
 
-@pytest.mark.parametrize("probes", [4096, 50])
-def test_isolated_pairs_in_one_oversized_leaf(spark, monkeypatch, probes):
-    monkeypatch.setattr(md, "CHUNK", 40)
-    monkeypatch.setattr(md, "PROBES", probes, raising=False)
-    rng = np.random.default_rng(5)
-    sig = np.repeat(rng.integers(0, 1 << 32, (150, md.TOKENS), dtype=np.uint32), 2, axis=0)
-    sig[:, :] = np.where(np.isin(np.arange(md.TOKENS), [
-        int(md.mix64(md._ROOTS[-1 - t:][:1] + md._ROOTS[0])[0] % np.uint64(md.TOKENS)) for t in range(md.TREES)]), 7, sig)
-    reps = spark.createDataFrame([(i, 100, bytearray(s.tobytes())) for i, s in enumerate(sig)], "rep long, n long, sig binary")
-    pairs, leaves = md.candidates(reps, leaf=4, levels=1)
-    assert {r["size"] for r in leaves.collect()} == {300}  # all sets share all leaves
-    assert {(r.a, r.b) for r in pairs.collect()} == {(i, i + 1) for i in range(0, 300, 2)}
+def made_signatures(spark, tokens):
+    """Sets of 100 shingles with equal root tokens: all share all roots."""
+    rows = np.concatenate([np.full((len(tokens), 4 * md.TREES), 7, np.uint8), tokens], axis=1)
+    return spark.createDataFrame([(i, 100, bytearray(s.tobytes())) for i, s in enumerate(rows)],
+                                 "rep long, n long, sig binary")
+
+
+def test_large_nodes_branch_until_pairs_are_found(spark, monkeypatch):
+    monkeypatch.setattr(md, "CHUNK", 20)
+    tokens = np.repeat(np.random.default_rng(5).integers(0, 256, (150, md.TOKENS), dtype=np.uint8), 2, axis=0)
+    edges = md.candidates(made_signatures(spark, tokens), leaf=4)
+    assert {(min(r), max(r)) for r in edges.collect()} == {(i, i + 1) for i in range(0, 300, 2)}
+
+
+def test_alike_nodes_end_with_all_their_sets(spark, monkeypatch):
+    monkeypatch.setattr(md, "CHUNK", 20)
+    rng = np.random.default_rng(6)
+    family = np.tile(rng.integers(0, 256, (1, md.TOKENS), dtype=np.uint8), (200, 1))
+    family[-1, : md.TOKENS // 2] += 1  # half like the family: no pair
+    stray = family[-1:].copy()         # but like this one
+    edges = md.candidates(made_signatures(spark, np.concatenate([family, stray])), leaf=8).collect()
+    group = {r.id: r.component for r in md.components(spark.createDataFrame(edges)).collect()}
+    assert all(group[i] == 0 for i in range(1, 199)) and 199 not in group and group[200] == 199
+
+
+def test_recall_by_similarity(spark, docs, monkeypatch):
+    """Pairs planted among documents that share half of their words, so that
+    nodes branch several times."""
+    monkeypatch.setattr(md, "CHUNK", 20)
+    rng = random.Random(9)
+    shared = [f"s{i}" for i in range(60)]
+    texts, bands = [], {"0.85": [], "0.87": [], "0.90": []}
+    for k in range(360):
+        edits, size = ((3, 60), (3, 92), (1, 60))[k % 3]
+        one = shared + [f"w{rng.randrange(10 ** 6)}" for _ in range(size)]
+        two = list(one)
+        for at in rng.sample(range(62, len(one) - 3, 4), edits):
+            two[at] = f"x{rng.randrange(10 ** 6)}"
+        texts += [" ".join(one), " ".join(two)]
+        a, b = set_of(texts[-2]), set_of(texts[-1])
+        s = len(a & b) / len(a | b)
+        bands["0.90" if s >= 0.9 else "0.87" if s >= 0.87 else "0.85"].append(2 * k)
+        assert s >= 0.85
+    group = {r.id: r.component_id for r in md.near_documents(docs(texts), leaf=8).collect()}
+    for band, firsts in bands.items():
+        assert len(firsts) >= 100 and np.mean([group[i] == group[i + 1] == i for i in firsts]) >= 0.95, band
+
+
+def test_one_passage_in_all_documents(spark, docs):
+    rng = random.Random(10)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [passage + " " + " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(20, 80))) for _ in range(3000)]
+    texts += [t + " end" for t in texts[:40]]
+    got = {r.id: r.component_id for r in md.near_documents(docs(texts).repartition(8)).collect()}
+    sets = [set_of(t) for t in texts]
+    assert [got[i] for i in range(3000, 3040)] == list(range(40)) and all(got[i] == i for i in range(40))
+    apart = [i for i in range(3000) if got[i] != i]
+    assert all(len(sets[i] & sets[got[i]]) >= 0.7 * len(sets[i] | sets[got[i]]) for i in apart)
+
+
+def test_words_made_to_clash(spark, docs):
+    one, two = clashing_words()
+    got = md.near_documents(docs([one, two, f"a {one} b", f"a {two} b"])).collect()
+    assert {r.id: r.component_id for r in got} == {i: i for i in range(4)}
 
 
 def test_signatures_estimate_similarity():
@@ -85,9 +140,9 @@ def test_signatures_estimate_similarity():
     base = rng.integers(0, 1 << 62, 3000).astype(np.uint64)
     for size in (1, 5, 40, 3000):
         sig = md.signatures([np.sort(base[:size]), np.sort(base[:size]), np.zeros(0, np.uint64)])
-        assert (sig[0] == sig[1]).all() and (sig[0] != md._EMPTY).all()
-    near = md.signatures([np.sort(base[:1000]), np.sort(base[100:1100])])
-    assert abs((near[0] == near[1]).mean() - 900 / 1100) < 0.15
+        assert (sig[0] == sig[1]).all()
+    near = md.signatures([np.sort(base[:1000]), np.sort(base[100:1100])])[:, 4 * md.TREES:]
+    assert abs((near[0] == near[1]).mean() - 900 / 1100) < 0.12
 
 
 def test_sets_equal_plain_sets():

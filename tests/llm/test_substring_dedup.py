@@ -10,7 +10,7 @@ import pytest
 
 from postcluster.llm import substring_dedup as sd
 from postcluster.llm.catalog import op7_substring_dedup
-from tests.llm.conftest import SF
+from tests.llm.conftest import SF, clashing_words
 
 
 def words_of(text):
@@ -51,6 +51,7 @@ def corpus():
 @pytest.mark.parametrize("hot", [2, 8, 10 ** 9])
 def test_equals_counting_all_windows(spark, docs, width, hot, monkeypatch):
     monkeypatch.setattr(sd, "HOT_COUNT", hot)  # hot paths may not change the rows
+    monkeypatch.setattr(sd, "SUB_BYTES", 100)
     texts = corpus()
     got = sd.remove_repeats(docs(texts).repartition(5), width).orderBy("_row.doc_id").collect()
     assert [(r.n_words, r.n_removed, r.kept) for r in got] == brute(texts, width)
@@ -67,8 +68,27 @@ def test_array_helpers():
     x = np.random.default_rng(1).integers(0, 50, 200).astype(np.uint64)
     for width in (1, 2, 3, 7, 28):
         assert sd.sliding_min(x, width).tolist() == [min(x[i:i + width]) for i in range(len(x) - width + 1)]
-    h = sd.run_hashes(np.tile(x[:20], 3), 5)
-    assert h[0] == h[20] == h[40] and len(set(h[:20].tolist())) == 20
+    for width in (1, 2, 3, 5, 35):
+        h = sd.run_hashes(np.tile(x[:20], 3), width)
+        assert len(h) == 61 - width and h[0] == h[20] and len(set(h[:20].tolist())) == 20
+
+
+def test_windows_with_equal_low_bits_are_told_apart(spark, docs, monkeypatch):
+    real = sd.run_hashes  # hashes that differ in their upper 16 bits alone
+    monkeypatch.setattr(sd, "run_hashes", lambda v, width: (
+        real(v, width) << np.uint64(48)) | np.uint64(0x123456789ABC) if width == 10 else real(v, width))
+    windows = sd.Windows(sd.pa.array(["a b c d e f g h i j k l"]), 10)
+    assert len(set((windows.hash & np.uint64((1 << 48) - 1)).tolist())) == 1 and len(set(windows.hash.tolist())) == 3
+    packed = next(sd.super_kmers(iter([sd.pa.RecordBatch.from_arrays(
+        [sd.pa.array([7]), sd.pa.array(["a b c d e f g h i j k l"])], names=["_row", "_text"])]), 10, sd.Hot([], [])))
+    assert sd._repeated(sd.pa.Table.from_batches([packed]).sort_by("bucket"), 10).num_rows == 0
+
+
+def test_words_made_to_clash(spark, docs):
+    one, two = clashing_words()
+    rest = " ".join(f"t{i}" for i in range(40))
+    got = sd.remove_repeats(docs([f"{one} {rest}", f"{two} {rest}"]), 41).collect()
+    assert [r.n_removed for r in got] == [0, 0]
 
 
 def test_repeated_rows_null_ids_and_clashing_columns(spark):

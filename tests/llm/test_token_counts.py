@@ -6,7 +6,7 @@ import public_tokenizers
 
 from postcluster.llm import token_counts as tc
 from postcluster.llm.catalog import op3_token_counts
-from tests.llm.conftest import SF
+from tests.llm.conftest import SF, clashing_words
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -32,7 +32,7 @@ def expected(text, pieces, floor):
 def test_counts_equal_a_plain_search(spark, docs):
     pieces = tc.Pieces.read(PATH).score
     floor = min(pieces.values()) - tc.UNKNOWN_BELOW
-    texts = [None, "", "  \n", "the theory of thermodynamics", "日本 \U0001f600 x", "a" * 300, "the the", "the the"]
+    texts = [None, "", "  \n", "the theory of thermodynamics", "日本 \U0001f600 x", "a" * 300, "the the", "the the", *clashing_words()]
     got = tc.token_counts(docs(texts), PATH).orderBy("_row.doc_id").collect()
     assert [(r.n_words, r.n_tokens, r.score) for r in got] == [expected(t, pieces, floor) for t in texts]
 
