@@ -31,13 +31,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the smallest id.  Rows
-    without an id all stay; of a repeated row one stays."""
+    without an id all stay; of rows with one id and text one stays.  The
+    columns are those that came in, whatever their names."""
     near = minhash_dedup.near_documents(docs, NEAR_SHINGLE, NEAR_PERCENT)
-    stays = near.where("kept").select(F.col("id").alias("_id"), F.col("th").alias("_stay"))
-    named = docs.where("doc_id IS NOT NULL").withColumn("_th", F.xxhash64("text"))
+    stays = near.where("kept").select(F.col("id").alias("stays"), F.col("th").alias("stays_th"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+    named = packed.where(f"{ROW}.doc_id IS NOT NULL").select(
+        ROW, F.col(f"{ROW}.doc_id").alias("id"), F.xxhash64(F.col(f"{ROW}.text").cast("string")).alias("th"))
     # The join's exchange of the texts serves the removal of repeated rows too.
-    found = named.join(stays, (F.col("doc_id") == F.col("_id")) & (F.col("_th") == F.col("_stay")), "left_semi")
-    return found.dropDuplicates(["doc_id", "_th"]).select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    found = named.join(stays, (F.col("id") == F.col("stays")) & (F.col("th") == F.col("stays_th")), "left_semi")
+    return found.dropDuplicates(["id", "th"]).select(ROW).union(packed.where(f"{ROW}.doc_id IS NULL")).select(f"{ROW}.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
