@@ -7,80 +7,96 @@ string.  Sequences at a small edit distance fall back into step after an edit,
 so their embeddings differ in few places: edit distance becomes Hamming
 distance.
 
-1. Every word of a document, and every word of a benchmark item that has room
-   for it, starts a window.  One walk per repetition embeds all windows.
-2. **Bit-sampling LSH**: a repetition keeps ``SAMPLED`` random places of the
-   first ``steps`` of the embedding; windows equal there are candidates.  The
-   steps follow the item's size (``STEPS``), so a window never leaves its item.
-   ``REPEATS`` independent walks, each with windows at every start inside the
-   item, reach the recall that ``tests/llm/test_decontaminate.py`` measures.
-3. **Verification**: the exact word edit distance between the whole item and
+1. **Windows** are as long as the item: for each size of an item, a document's
+   window of so many words is walked along as the item is, and a walk that
+   comes to the end of its window sees padding.
+2. **Bit-sampling LSH**: each of ``repeats(size)`` independent walks keeps a
+   few random places of the whole embedding (``sampled``); windows equal to
+   an item there are candidates.  Longer items take more edits and get more
+   repeats and fewer places.  ``tests/llm/test_decontaminate.py`` measures the
+   recall for each size.
+3. **Where windows start.**  An edit takes away two of an item's pairs of
+   neighbouring words at most, so ``size - 1 - 2 * edits`` of them must stand
+   in the window.  Windows that hold too few cannot be within the distance
+   and are not walked; no window is lost by this.
+4. **Verification**: the exact word edit distance between the whole item and
    the best stretch of the document around the candidate, in a window of the
    item's size and the edits it may have (a bit-parallel dynamic program).
    A leak has edits in at most ``1 - SIMILARITY`` of the item's words.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  The benchmark is
-taken in blocks of about ``BLOCK_WORDS`` words, each shared with all tasks and
-met with all documents; documents never leave their task.
+taken in blocks of about ``BLOCK_WORDS`` words; each block is shared with all
+tasks in a job of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postcluster.llm.frames import ROW, cut, map_texts
+from postcluster.llm.frames import ROW, cut, drop, map_texts
 from postcluster.llm.words import mix64, scan, seeds64
 
 SIMILARITY = 0.8
-#: Steps of the walk, by the smallest item that each is for.
-STEPS = (1, 2, 4, 8, 12)
-REPEATS = 5
-SAMPLED = 6
+#: Steps of a walk for each word of the window.
+STEPS_EACH = 1.2
 BLOCK_WORDS = 1_000_000
-#: Windows that walk together.
-WALK_BLOCK = 1 << 14
-#: Keys are first looked up in a table of this many bits.
+#: Windows that walk together, all their repeats counted.
+WALK_BLOCK = 1 << 16
+#: Word pairs are first looked up in a table of this many bits.
 TABLE_BITS = 20
 
-_WALKS = seeds64(64, 401)
-_PLACES = seeds64(STEPS[-1], 402)
+_WALKS = seeds64(4096, 401)
+_PAIR, _STEP, _PADDING = seeds64(3, 402)
 
 
-def places(repeat: int, steps: int) -> list[int]:
-    """The random steps that a repetition keeps."""
-    with np.errstate(over="ignore"):
-        order = np.argsort(mix64(_PLACES[:steps] * _WALKS[8 + repeat]), kind="stable")
-    return sorted(order[:SAMPLED].tolist())
+def repeats(size: int) -> int:
+    """Independent walks for items of a size."""
+    return 14 if size <= 24 else 20 if size <= 48 else 28
 
 
-def walk_keys(hashes: np.ndarray, repeat: int, steps: int) -> np.ndarray:
-    """The key of the window that starts at each word.
+def sampled(size: int) -> int:
+    """Places that a walk keeps."""
+    return 3 if size <= 64 else 2 if size <= 256 else 1
 
-    A window may run on into the next text (or the padding behind the last).
-    It can then match an item by chance only, and verification keeps to the
-    text; windows of items never leave their item.
-    """
-    n, kept = len(hashes), places(repeat, steps)
-    seen = np.append(hashes, np.full(steps, np.uint64(0x1234567)))
-    moves = mix64(seen ^ _WALKS[repeat]).astype(np.uint16)  # bit j: does the pointer move on at step j
-    keys, prime, one = np.empty(n, np.uint64), np.uint64(0x9E3779B97F4A7C15), np.uint16(1)
-    with np.errstate(over="ignore"):
-        for a in range(0, n, WALK_BLOCK):  # what a walk touches stays in the cache
-            at = np.arange(a, min(a + WALK_BLOCK, n))
-            key = np.full(len(at), np.uint64(steps))
-            for step in range(kept[-1] + 1):
-                if step in kept:
-                    key *= prime
-                    key += seen[at]
-                if step < kept[-1]:
-                    at += (moves[at] >> np.uint16(step)) & one
-            keys[a:a + len(key)] = key ^ (key >> np.uint64(29))
+
+def steps(size: int) -> int:
+    return max(int(STEPS_EACH * size), sampled(size))
+
+
+def places(size: int, repeat: int) -> np.ndarray:
+    """The random steps that a repeat keeps."""
+    rng = np.random.default_rng([403, size, repeat])
+    return np.sort(rng.choice(steps(size), sampled(size), replace=False))
+
+
+def walk_keys(words: np.ndarray, start: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """uint64[repeats, windows]: the key of each window of ``words`` from
+    ``start`` to ``end``, in each repeat of the walk for items of ``size``."""
+    many, n = repeats(size), len(start)
+    keys = np.empty((many, n), np.uint64)
+    kept = np.zeros((many, steps(size)), bool)
+    for r in range(many):
+        kept[r, places(size, r)] = True
+    for a in range(0, n, max(1, WALK_BLOCK // many)):
+        part = slice(a, a + max(1, WALK_BLOCK // many))
+        at = np.repeat(start[part][None], many, axis=0)
+        stop = end[part][None]
+        key = np.broadcast_to((np.arange(many, dtype=np.uint64) * _STEP + np.uint64(size))[:, None], at.shape).copy()
+        with np.errstate(over="ignore"):
+            for step in range(steps(size)):
+                seen = np.where(at < stop, words[np.minimum(at, len(words) - 1)], _PADDING)
+                here = kept[:, step]
+                if here.any():
+                    key[here] = mix64(key[here] * _STEP + seen[here])
+                bits = (seen ^ _WALKS[:many, None]) * _WALKS[64 + step % 4000]
+                at = np.minimum(at + (bits >> np.uint64(63)).astype(np.int64), stop)
+        keys[:, part] = key
     return keys
 
 
@@ -108,25 +124,41 @@ def myers(item: list[int], text: list[int]) -> list[int]:
     return out
 
 
-@dataclass
-class Keys:
-    """Item windows of one walk: sorted keys, their items and starts."""
-
-    repeat: int
-    steps: int
-    key: np.ndarray
-    item: np.ndarray
-    offset: np.ndarray
-    table: np.ndarray  # which low bits occur
-
-    def matches(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position in ``found``, index here) of equal keys."""
-        mask = np.uint64((1 << TABLE_BITS) - 1)
-        may = np.flatnonzero(self.table[(found & mask).astype(np.int64)])
-        low = np.searchsorted(self.key, found[may])
-        count = np.searchsorted(self.key, found[may], side="right") - low
-        at = np.repeat(may, count)
-        return at, np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(at))
+class Size:
+    """The items of one size: what must stand in a window, and their keys."""
+
+    def __init__(self, size: int, most: int, items: np.ndarray, start: np.ndarray, hashes: np.ndarray, pairs: np.ndarray):
+        self.size, self.most = size, most
+        self.run = min(2, size)  # single words count for items of one word
+        self.need = size - self.run + 1 - self.run * most
+        self.pairs = pairs       # which of the block's word pairs are in these items
+        key = walk_keys(hashes, start, start + size, size)
+        self.keys = []
+        for row in key:
+            order = np.argsort(row, kind="stable")
+            self.keys.append((row[order], items[order]))
+
+    def starts(self, hit: np.ndarray, text: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Words at which a window may begin, from the places ``hit`` (and
+        their texts) of this size's word pairs."""
+        if self.need <= 0:
+            return np.arange(first[-1])
+        if len(hit) < self.need:
+            return np.zeros(0, np.int64)
+        last = self.need - 1
+        near = (hit[last:] - hit[:len(hit) - last] <= self.size + self.most - self.run) & (text[last:] == text[:len(hit) - last])
+        begin = hit[:len(hit) - last][near]
+        low = np.maximum(begin - (self.run + 1) * self.most, first[text[:len(hit) - last][near]])
+        edge = np.zeros(first[-1] + 1, np.int32)
+        np.add.at(edge, low, 1)
+        np.add.at(edge, begin + 1, -1)
+        return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+
+
+def pair_hashes(hashes: np.ndarray) -> np.ndarray:
+    """A hash of each word with the next one (at the end: with padding)."""
+    with np.errstate(over="ignore"):
+        return mix64(hashes * _PAIR + np.append(hashes[1:], _PADDING))
 
 
 class Finder:
@@ -142,18 +174,53 @@ class Finder:
         self.most = [int((1 - similarity) * len(w) + 1e-9) for w in self.words]
         owner = np.repeat(np.arange(len(items)), size)
         self.item_words = np.unique(self._word_keys(owner, hashes))
-        offset = np.arange(len(hashes)) - words.first[owner]
-        room = size[owner] - offset
-        of_size = np.array([0, *STEPS])[np.searchsorted(STEPS, size, side="right")]
-        self.keys: list[Keys] = []
-        for steps in STEPS:
-            mine = np.flatnonzero((of_size[owner] == steps) & (room >= steps))
-            for repeat in range(REPEATS if len(mine) else 0):
-                key = walk_keys(hashes, repeat, steps)[mine]
-                order = np.argsort(key, kind="stable")
-                table = np.zeros(1 << TABLE_BITS, bool)
-                table[(key & np.uint64(len(table) - 1)).astype(np.int64)] = True
-                self.keys.append(Keys(repeat, steps, key[order], owner[mine][order], offset[mine][order], table))
+        # Pairs of neighbouring words inside an item; of an item of one word, the word.
+        inside = np.append(owner[1:] == owner[:-1], False) if len(owner) else np.zeros(0, bool)
+        single = size[owner] == 1
+        pair = np.where(single, mix64(hashes), pair_hashes(hashes) if len(hashes) else hashes)
+        known = inside | single
+        self.pairs, number = np.unique(pair[known], return_inverse=True)
+        self.table = np.zeros(1 << TABLE_BITS, bool)
+        self.table[self._low(self.pairs)] = True
+        self.by_size = []
+        for m in np.unique(size[size > 0]).tolist():
+            mine = np.flatnonzero(size == m)
+            has = np.zeros(len(self.pairs), bool)
+            has[number[size[owner[known]] == m]] = True
+            self.by_size.append(Size(m, self.most[mine[0]], mine, words.first[:-1][mine], hashes, has))
+
+    @staticmethod
+    def _low(keys: np.ndarray) -> np.ndarray:
+        return (keys & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
+
+    def _hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the block's word pairs in a document, and which they are."""
+        at = np.flatnonzero(self.table[self._low(keys)])
+        which = np.minimum(np.searchsorted(self.pairs, keys[at]), max(len(self.pairs) - 1, 0))
+        true = self.pairs[which] == keys[at] if len(self.pairs) else np.zeros(0, bool)
+        return at[true], which[true]
+
+    def candidates(self, words, hashes: np.ndarray) -> np.ndarray:
+        """Distinct rows (text, item, start) of windows that an item's key meets."""
+        found = [np.zeros((0, 3), np.int64)]
+        pair_at, pair = self._hits(pair_hashes(hashes))
+        word_at, word = self._hits(mix64(hashes)) if any(s.run == 1 for s in self.by_size) else (pair_at, pair)
+        for size in self.by_size:
+            at, which = (word_at, word) if size.run == 1 else (pair_at, pair)
+            hit = at[size.pairs[which]]
+            text = np.searchsorted(words.first, hit, side="right") - 1
+            start = size.starts(hit, text, words.first)
+            if not len(start):
+                continue
+            of = np.searchsorted(words.first, start, side="right") - 1
+            keys = walk_keys(hashes, start, np.minimum(start + size.size, words.first[1:][of]), size.size)
+            for row, (key, item) in zip(keys, size.keys):
+                low = np.searchsorted(key, row)
+                count = np.searchsorted(key, row, side="right") - low
+                k = np.repeat(np.arange(len(row)), count)
+                place = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(k))
+                found.append(np.stack([of[k], item[place], start[k]], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def leaks(self, texts: pa.Array) -> list[list[dict]]:
         """Per text: its leaks, the best one for each item."""
@@ -161,14 +228,8 @@ class Finder:
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         if not len(words):
             return out
-        hashes = words.hashes()
-        found, last = [], None
-        for k in self.keys:
-            at, which = k.matches(walk_keys(hashes, k.repeat, k.steps))
-            text = np.searchsorted(words.first, at, side="right") - 1
-            found.append(np.stack([text, k.item[which], at - k.offset[which]], axis=1))
-        rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
-        text, item, low, high = self._stretches(hashes, rows, words.first)
+        hashes, last = words.hashes(), None
+        text, item, low, high = self._stretches(hashes, self.candidates(words, hashes), words.first)
         for k in np.flatnonzero(self._plausible(hashes, item, low, high)).tolist():
             scores = myers(self.words[item[k]], hashes[low[k]:high[k]].tolist())
             least = min(scores)
@@ -224,18 +285,23 @@ LEAKS = "array<struct<item_id:long,distance:int,end_word:int>>"
 _ARROW_LEAKS = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("end_word", pa.int32())]))
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list]:
-    """The items, a bounded block at a time (dealt by a hash)."""
+def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[Iterator[list]]:
+    """The blocks of the benchmark (dealt by a hash), each an iterator that
+    brings its items when it is asked."""
     items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("id"),
                              F.col(f"`{text}`").cast("string").alias("text")).where("text IS NOT NULL")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + chars // (6 * block_words)
     if blocks > 1:
         items = cut(items.withColumn("block", F.pmod(F.xxhash64("text", "id"), F.lit(blocks))))
-    for b in range(blocks):
+
+    def bring(b: int) -> Iterator[list]:
         rows = (items.where(F.col("block") == b) if blocks > 1 else items).select("id", "text").collect()
         yield sorted(((r.id, r.text) for r in rows), key=repr)
 
+    for b in range(blocks):
+        yield bring(b)
+
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None,
                item_id: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
@@ -247,18 +313,25 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: li
     with equal texts, and repeated rows, are each answered.  Items below five
     words tolerate no edit at a similarity of 0.8.
     """
-    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in (keep or df.columns)]).alias("row"),
-                       F.col(f"`{text}`").cast("string").alias("text"),
-                       F.lit(None).cast(LEAKS).alias("leaks"))
-    spark = df.sparkSession
-    for items in benchmark_blocks(benchmark, item_id, item_text, block_words):
-        shared = spark.sparkContext.broadcast(Finder(items, similarity))
-
-        def make(shared=shared):
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in (keep or df.columns)]).alias("row"),
+                     F.col(f"`{text}`").cast("string").alias("text"))
+
+    def one(source: DataFrame, items: list, columns: list[str]) -> DataFrame:
+        shared = df.sparkSession.sparkContext.broadcast(Finder(items, similarity))
+
+        def make():
             finder = shared.value
             return lambda texts: [pa.array(finder.leaks(texts), _ARROW_LEAKS)]
 
-        done = map_texts(packed, "text", ["row", "leaks", "text"], f"more {LEAKS}", make)
-        both = F.concat(F.coalesce(f"{ROW}.leaks", F.array().cast(LEAKS)), F.col("more"))
-        packed = done.select(F.col(f"{ROW}.row").alias("row"), F.col(f"{ROW}.text").alias("text"), both.alias("leaks"))
-    return packed.select(F.col("row").alias(ROW), "leaks")
+        return map_texts(source, "text", columns, f"leaks {LEAKS}", make)
+
+    blocks = list(benchmark_blocks(benchmark, item_id, item_text, block_words))
+    if len(blocks) == 1:
+        return one(rows, next(blocks[0]), ["row"]).select(F.col(f"{ROW}.row").alias(ROW), "leaks")
+    # One job for each block, which writes the few rows with leaks.
+    rows = cut(rows.withColumn("at", F.monotonically_increasing_id()))
+    parts = [cut(one(rows, next(block), ["at"]).where(F.size("leaks") > 0).select(f"{ROW}.at", "leaks")) for block in blocks]
+    found = cut(reduce(DataFrame.union, parts).groupBy("at").agg(F.flatten(F.collect_list("leaks")).alias("leaks")))
+    drop(*parts)
+    return rows.join(found, "at", "left").select(
+        F.col("row").alias(ROW), F.coalesce("leaks", F.array().cast(LEAKS)).alias("leaks"))

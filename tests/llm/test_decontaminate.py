@@ -3,11 +3,12 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from postcluster.llm import decontaminate as dc
 from postcluster.llm.catalog import op2_decontaminate
-from tests.llm.conftest import SF
+from tests.llm.conftest import SF, clashing_words
 
 BENCH = "item_id long, text string"
 
@@ -64,7 +65,7 @@ def found(spark, texts, items, **how):
     return {(r._row.doc_id, k.item_id, k.distance) for r in rows for k in r.leaks}
 
 
-@pytest.mark.parametrize("edits,recall", [(0.0, 1.0), (0.1, 0.98), (0.2, 0.9)])
+@pytest.mark.parametrize("edits,recall", [(0.0, 1.0), (0.1, 0.98), (0.2, 0.95)])
 def test_recall_and_precision_against_brute_force(spark, edits, recall):
     items, texts = planted(random.Random(7), edits, 60)
     want = brute(enumerate(texts), items)
@@ -72,6 +73,29 @@ def test_recall_and_precision_against_brute_force(spark, edits, recall):
     assert got <= want and len(got) >= recall * len(want) and len(want) > 50
 
 
+def test_recall_of_each_item_size():
+    """Items with the most edits that they may have, for each size by itself."""
+    rng = random.Random(11)
+    for size in (*range(1, 61), 90, 150, 300):
+        items, texts = [], []
+        for i in range(100 if size <= 60 else 20):
+            item = [rng.choice(VOCABULARY) for _ in range(size)]
+            near = list(item)
+            for _ in range(int(0.2 * size + 1e-9)):
+                k, how = rng.randrange(len(near)), rng.randrange(4)
+                near[k:k + (how != 0)] = [f"x{rng.randrange(10 ** 6)}"] * (how != 1)
+            items.append((i, " ".join(item)))
+            texts.append(" ".join(["q"] * rng.randrange(9) + near + ["r"] * rng.randrange(9)))
+        got = dc.Finder(items, 0.8).leaks(pa.array(texts))
+        hit = [any(k["item_id"] == i for k in leaks) for i, leaks in enumerate(got)]
+        assert sum(hit) >= 0.9 * len(hit), (size, sum(hit))
+
+
+def test_words_made_to_clash(spark):
+    one, two = clashing_words()
+    assert found(spark, [two, one], [(1, one)]) == {(1, 1, 0)}
+
+
 def test_blocks_give_the_same_rows(spark):
     items, texts = planted(random.Random(8), 0.1, 30)
     assert found(spark, texts, items, block_words=100) == found(spark, texts, items)
@@ -95,6 +119,8 @@ def test_edge_rows(spark):
     row = dc.find_leaks(clash, spark.createDataFrame(items, BENCH)).collect()[0]
     assert row._row.leaks == "x" and row.leaks[0].item_id == 3
     assert dc.find_leaks(clash.limit(0), spark.createDataFrame(items, BENCH)).collect() == []
+    twice = spark.createDataFrame([(1, "only", "x", "y")] * 2, "doc_id long, text string, leaks string, row string")
+    assert [len(r.leaks) for r in dc.find_leaks(twice, spark.createDataFrame(items, BENCH)).collect()] == [1, 1]
 
 
 def test_query_over_the_whole_table(spark):
@@ -108,4 +134,4 @@ def test_query_over_the_whole_table(spark):
     for i, item in items:
         near = [(d, t) for d, t in docs if runs(words_of(item)) & runs(words_of(t))]
         want |= brute(near, [(i, item)])
-    assert got <= want and len(got) >= 0.95 * len(want) and got
+    assert got <= want and len(got) >= 0.98 * len(want) and got
