@@ -5,17 +5,19 @@ all, and linked when their cosine in double precision reaches a threshold.
 
 1. Equal vectors are one representative with a weight, so copies cost nothing
    more, however many there are.
-2. Representatives of a label are dealt into tiles of about ``TILE`` by a hash
-   of their id; each pair of tiles is one task's unit of work.  A label that
-   holds a third of all rows is many tiles.
-3. In a pair of tiles, vectors are int8 codes times a scale.  The product of
+2. Representatives of a label are dealt into blocks by a hash of their id; each
+   pair of blocks is one unit of work.  A label of t tiles of ``TILE`` vectors
+   has about sqrt(t) blocks (and none of more than ``MOST_TILES`` tiles), so a
+   vector travels about sqrt(t) times, and a label that holds a third of all
+   rows is spread over t / 2 tasks.
+3. A pair of blocks is worked through tile by tile.  In a pair of tiles, vectors are int8 codes times a scale.  The product of
    the codes is an exact integer, and by Cauchy-Schwarz the true cosine
    differs from the scaled product by at most
    ``|x'| * err(y) + err(x) * |y'| + err(x) * err(y)``, where ``err`` is the
    length of a vector's quantisation error and ``x'`` its decoded form.
    Only pairs that may reach the threshold are computed again in double
    precision.  No pair at or over the threshold can be missed.
-4. A pair of tiles gives link counts per vector and a spanning forest of its
+4. A pair of blocks gives link counts per vector and a spanning forest of its
    links (never more rows than vectors), not the links themselves.
 """
 
@@ -33,6 +35,8 @@ from postcluster.llm.frames import cut
 
 THRESHOLD = 0.98
 TILE = 1024
+#: Tiles of one block at most: 64 MB of 512 numbers.
+MOST_TILES = 16
 #: Pairs computed in double precision at a time.
 EXACT_CHUNK = 1 << 16
 
@@ -72,33 +76,50 @@ def links(x: np.ndarray, y: np.ndarray | None, threshold: float) -> tuple[np.nda
     return i[true], j[true]
 
 
-def _tile(cell: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rows = cell["rows"]
-    return (np.array([r["rep"] for r in rows], np.int64), np.array([r["copies"] for r in rows], np.int64),
-            np.array([r["vector"] for r in rows], np.float64))
+def _block(cell: pa.StructArray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, copies and vectors of the k-th block of a pair, from Arrow's buffers."""
+    rows = cell.field("rows")[k].values
+    ids, copies, vectors = (rows.field(c) for c in ("rep", "copies", "vector"))
+    return ids.to_numpy(), copies.to_numpy(), vectors.flatten().to_numpy().reshape(len(rows), -1)
 
 
 FOUND = "a long, b long, n long"
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, tile: int):
+    def pair(cell: pa.StructArray) -> pa.RecordBatch | None:
+        x_id, x_n, x = _block(cell, 0)
+        y_id, y_n, y = _block(cell, len(cell) - 1)
+        low, high = [], []
+        x_count, y_count = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
+        for p in range(0, len(x), tile):
+            for q in range(0 if len(cell) == 2 else p, len(y), tile):
+                same = len(cell) == 1 and p == q
+                i, j = links(x[p:p + tile], None if same else y[q:q + tile], threshold)
+                i, j = i + p, j + q
+                np.add.at(x_count, i, y_n[j])
+                np.add.at(y_count, j, x_n[i])
+                if len(i):
+                    a, b = forest(x_id[i], y_id[j])
+                    low.append(a)
+                    high.append(b)
+        if not low:
+            return None
+        node, count = np.concatenate([x_id, y_id]), np.concatenate([x_count, y_count])
+        node, count = node[count > 0], count[count > 0]
+        a, b = forest(np.concatenate(low), np.concatenate(high))
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([node, a])),
+            pa.concat_arrays([pa.nulls(len(node), pa.int64()), pa.array(b)]),
+            pa.concat_arrays([pa.array(count), pa.nulls(len(a), pa.int64())]),
+        ], names=["a", "b", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                tiles = [_tile(c) for c in batch.column("tiles")[k].as_py()]
-                (x_id, x_n, x), (y_id, y_n, _) = tiles[0], tiles[-1]
-                i, j = links(x, None if len(tiles) == 1 else tiles[1][2], threshold)
-                if not len(i):
-                    continue
-                ids = np.concatenate([x_id[i], y_id[j]])
-                node, at = np.unique(ids, return_inverse=True)
-                count = np.bincount(at, np.concatenate([y_n[j], x_n[i]])).astype(np.int64)
-                low, high = forest(x_id[i], y_id[j])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([node, low])),
-                    pa.concat_arrays([pa.nulls(len(node), pa.int64()), pa.array(high)]),
-                    pa.concat_arrays([pa.array(count), pa.nulls(len(low), pa.int64())]),
-                ], names=["a", "b", "n"])
+                found = pair(batch.column("blocks")[k].values)
+                if found is not None:
+                    yield found
     return run
 
 
@@ -128,16 +149,18 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, tile: int = TILE,
         F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("vector"),
         F.first("label").alias("label")))
     reps = reps.withColumn("dim", F.size("vector"))
-    sizes = reps.groupBy("label", "dim").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("tiles"))
-    dealt = reps.join(sizes, ["label", "dim"]).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
-    tiles = dealt.groupBy("label", "dim", "tiles", "tile").agg(
-        F.collect_list(F.struct("rep", "copies", "vector")).alias("rows"))  # about ``tile`` rows
-    paired = tiles.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
-        "label", "dim", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
-        F.struct("tile", "rows").alias("t"))
-    pairs = paired.groupBy("label", "dim", "low", "high").agg(F.sort_array(F.collect_list("t")).alias("tiles"))
-    pairs = pairs.where((F.size("tiles") == 2) | (F.col("low") == F.col("high")))
-    found = cut(pairs.select("tiles").mapInArrow(_compare(threshold), FOUND))
+    tiles = F.count("*") / F.lit(tile)
+    sizes = reps.groupBy("label", "dim").agg(
+        F.greatest(F.ceil(F.sqrt(tiles)), F.ceil(tiles / MOST_TILES)).cast("int").alias("blocks"))
+    dealt = reps.join(sizes, ["label", "dim"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    blocks = dealt.groupBy("label", "dim", "blocks", "block").agg(
+        F.collect_list(F.struct("rep", "copies", "vector")).alias("rows"))  # MOST_TILES tiles at most, about
+    paired = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "label", "dim", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        F.struct("block", "rows").alias("t"))
+    pairs = paired.groupBy("label", "dim", "low", "high").agg(F.sort_array(F.collect_list("t")).alias("blocks"))
+    pairs = pairs.where((F.size("blocks") == 2) | (F.col("low") == F.col("high")))
+    found = cut(pairs.select("blocks").mapInArrow(_compare(threshold, tile), FOUND))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     of_rep = components(found.where("b IS NOT NULL").select("a", "b"))
     known = (
