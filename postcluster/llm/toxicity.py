@@ -10,8 +10,9 @@
    begins with a stem.  All words of a slice are run through the table
    together, one byte column at a time; nearly all reach the dead state
    within three bytes.  A large lexicon has several tables.
-3. **Context windows.**  Each hit is weighed by its surroundings: hits between
-   quotation marks weigh less, further hits near by weigh more.
+3. **Context windows.**  Each hit is weighed by its surroundings: hits inside an
+   open quotation, whatever its marks, that began and ends within
+   ``QUOTE_WINDOW`` words weigh less; further hits near by weigh more.
 4. **Score.**  A logistic regression over a few sums of hit weights, fitted on
    the same sample.
 """
@@ -33,7 +34,6 @@ from postcluster.llm.words import byte_classes, scan, segment_sums
 #: Word matter: letters, digits and all bytes beyond ASCII.
 TERM_WORDS = byte_classes(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
-MAX_TERMS = 512          # lexicon entries at most, by toxic texts that hold them
 STEM_LENGTHS = range(4, 8)
 MIN_TEXTS = 3            # toxic texts that must hold a term, at least
 MIN_EVIDENCE = 8.0       # log likelihood ratio: term and label against chance
@@ -42,8 +42,12 @@ STEM_WORDS = 5           # different words that a stem must begin
 MAX_STATES = 60_000      # of one determinised automaton
 TERMS_EACH = 64          # terms of one automaton at most
 WINDOW = 12              # words on each side of a hit
-QUOTES = b"\"\xe2\x80\x9c\xe2\x80\x9d\xc2\xab\xc2\xbb"
+QUOTE_WINDOW = 40        # words of a quotation before and after a hit
 QUOTED_WEIGHT = 0.35
+#: Marks in the bytes that :func:`plain_marks` makes: either side, opening, closing.
+DOUBLE, SINGLE, OPENS, CLOSES = 0x22, 0x27, 0x02, 0x03
+#: Punctuation beyond ASCII separates words: general and CJK punctuation, guillemets, inverted marks.
+BEYOND_ASCII = "\\x{A0}\\x{A1}\\x{AB}\\x{BB}\\x{BF}\\x{2000}-\\x{206F}\\x{3000}-\\x{303F}"
 
 EXACT, FUZZY, STEM = 1, 2, 3
 FEATURES = 6
@@ -201,8 +205,8 @@ def build_automata(words: list[bytes], stems: list[bytes]) -> Automata:
 
 
 def learn_lexicon(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
-    """Words and stems from ``text, y``; at most ``MAX_TERMS`` of each reach
-    the driver.
+    """Words and stems from ``text, y``: those with enough evidence, all of
+    them.  The rows are a bounded sample, so the driver gets a part of its words.
 
     Spark counts, for each word and each word beginning, the toxic and other
     texts that hold it.  Near copies count once: texts with the same smallest
@@ -210,10 +214,10 @@ def learn_lexicon(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
     """
     # Case is that of ASCII letters: other scripts count as they are written.
     lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    found = F.array_distinct(F.regexp_extract_all(lower, F.lit("([0-9a-z\\x{80}-\\x{10FFFF}]+)"), F.lit(1)))
+    found = F.array_distinct(F.regexp_extract_all(lower, F.lit(f"([0-9a-z\\x{{80}}-\\x{{10FFFF}}&&[^{BEYOND_ASCII}]]+)"), F.lit(1)))
     long_words = F.filter("words", lambda w: F.length(w) >= 8)
     texts = (
-        rows.select("y", F.filter(found, lambda w: F.length(w) <= 40).alias("words"))
+        rows.select("y", found.alias("words"))
         .withColumn("origin", F.coalesce(
             F.array_min(F.transform(long_words, lambda w: F.xxhash64(w))), F.xxhash64("words")))
         .groupBy("origin", "y").agg(F.min("words").alias("words"))
@@ -231,7 +235,7 @@ def learn_lexicon(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
     chosen = (F.col("toxic") >= MIN_TEXTS) & (evidence >= MIN_EVIDENCE) & (odds >= MIN_ODDS)
 
     def top(counted: DataFrame) -> list:
-        return counted.where(chosen).orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
+        return counted.where(chosen).collect()
 
     words = texts.select("y", "origin", F.explode("words").alias("word"))
     begins = F.explode(F.array(*[F.substring("word", 1, n) for n in STEM_LENGTHS])).alias("term")
@@ -246,26 +250,92 @@ def learn_lexicon(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
     for row in sorted(top(counted.where(F.col("kinds") >= STEM_WORDS)), key=lambda r: (len(r.term), r.term)):
         if not any(row.term.startswith(s) for s in stems):
             stems.append(row.term)
-    terms = [r.term for r in top(words.groupBy(F.col("word").alias("term")).agg(toxic, other))]
+    terms = [r.term for r in sorted(top(words.groupBy(F.col("word").alias("term")).agg(toxic, other)), key=lambda r: (-r.toxic, r.term))]
     exact = [w for w in terms if not any(w.startswith(s) for s in stems)]
     return [w.encode() for w in exact], [s.encode() for s in stems]
 
 
+def plain_marks(texts: pa.Array) -> pa.Array:
+    """The texts with punctuation beyond ASCII as ASCII bytes, byte for byte:
+    quotation marks as ``DOUBLE``, ``SINGLE``, ``OPENS`` or ``CLOSES``, all
+    other as spaces."""
+    texts = pa.compute.fill_null(texts, "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if not len(texts) or offsets[-1] == offsets[0]:
+        return texts
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].copy()
+    data[(data == OPENS) | (data == CLOSES)] = 0x20
+    two = np.full(256, 0, np.uint8)
+    two[[0xA0, 0xA1, 0xBF, 0xAB, 0xBB]] = [0x20, 0x20, 0x20, OPENS, CLOSES]
+    at = np.flatnonzero(data[:-1] == 0xC2)
+    at = at[two[data[at + 1]] > 0]
+    data[at] = data[at + 1] = two[data[at + 1]]
+    general, cjk = np.full(256, 0x20, np.uint8), np.full(256, 0x20, np.uint8)
+    general[0x98:0x9C], general[0x9C:0xA0], general[0xB9], general[0xBA] = SINGLE, DOUBLE, OPENS, CLOSES
+    cjk[[0x8C, 0x8E]], cjk[[0x8D, 0x8F]] = OPENS, CLOSES
+    lead = np.flatnonzero((data[:-2] == 0xE2) | (data[:-2] == 0xE3)) if len(data) > 2 else np.zeros(0, np.int64)
+    first, second, third = data[lead], data[lead + 1], data[lead + 2]
+    more = (first == 0xE2) & (second == 0x81) & (third <= 0xAF)
+    use = (second == 0x80) | more
+    code = np.where(more, 0x20, np.where(first == 0xE2, general[third], cjk[third])).astype(np.uint8)[use]
+    for i in range(3):
+        data[lead[use] + i] = code
+    moved = pa.py_buffer((offsets - offsets[0]).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, moved, pa.py_buffer(data)])
+
+
+def quoted(words, hit: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """True for the words ``hit`` (of the texts ``doc``) inside a quotation.
+
+    A mark opens if a word follows and none precedes, and closes if a word or
+    a sentence's punctuation precedes and no word follows; guillemets and CJK marks that
+    stand free open or close as they are drawn.  An apostrophe is neither.  A
+    hit is quoted if the last mark before it opens and the next one closes.
+    """
+    out = np.zeros(len(hit), bool)
+    data, ends = words.data, words.texts
+    matter = TERM_WORDS[data] > 0
+    for codes in ((DOUBLE, OPENS, CLOSES), (SINGLE,)):
+        mark = np.isin(data, codes)
+        new = mark.copy()  # the bytes of one mark are one run
+        new[1:] &= (data[1:] != data[:-1]) | np.isin(np.arange(1, len(data)), ends)
+        begin = np.flatnonzero(new)
+        if not len(begin):
+            continue
+        stop = np.flatnonzero(mark & np.append(new[1:] | ~mark[1:], True)) + 1
+        text = np.searchsorted(ends, begin, side="right") - 1
+        inside_left, inside_right = begin > ends[text], stop < ends[text + 1]
+        left = np.where(inside_left, data[np.maximum(begin - 1, 0)], 0x20)
+        before = inside_left & matter[np.maximum(begin - 1, 0)]
+        after = inside_right & matter[np.minimum(stop, len(data) - 1)]
+        ended = before | np.isin(left, list(b".,!?;:"))
+        opens, closes = after & ~before, ended & ~after
+        free = ~opens & ~closes & ~(before & after)
+        opens |= free & (data[begin] == OPENS)
+        closes |= free & (data[begin] == CLOSES)
+        keep = opens | closes
+        begin, text, opens = begin[keep], text[keep], opens[keep]
+        if len(begin) < 2:
+            continue
+        last = np.searchsorted(begin, words.start[hit]) - 1
+        held = (last >= 0) & (last + 1 < len(begin))
+        last, following = np.where(held, last, 0), np.where(held, last + 1, 0)
+        gap = hit - np.searchsorted(words.start, begin[last])
+        rest = np.searchsorted(words.start, begin[following]) - hit
+        out |= (held & opens[last] & ~opens[following] & (text[last] == doc) & (text[following] == doc)
+                & (gap < QUOTE_WINDOW) & (rest <= QUOTE_WINDOW))
+    return out
+
+
 def features(texts: pa.Array, automaton: Automaton | Automata) -> np.ndarray:
     """Sums of hit weights of each text, float64[texts, FEATURES]."""
-    words = scan(texts, TERM_WORDS, lower=True)
+    words = scan(plain_marks(texts), TERM_WORDS, lower=True)
     out = np.zeros((len(texts), FEATURES))
     kind = automaton.run(words)
     hit = np.flatnonzero(kind)
     if len(hit):
         doc = np.searchsorted(words.first, hit, side="right") - 1
-        # Quotation: a mark right before the hit and one right after it.
-        table = np.zeros(256, bool)
-        table[list(QUOTES)] = True
-        size = len(words.data)
-        before = table[words.data[np.maximum(words.start[hit] - 1, 0)]] & (words.start[hit] > words.texts[doc])
-        after = table[words.data[np.minimum(words.end[hit], size - 1)]] & (words.end[hit] < words.texts[doc + 1])
-        weight = np.where(before & after, QUOTED_WEIGHT, 1.0)
+        weight = np.where(quoted(words, hit, doc), QUOTED_WEIGHT, 1.0)
         # Other hits of the same text at most WINDOW words away.
         near = (np.searchsorted(hit, np.minimum(hit + WINDOW + 1, words.first[doc + 1]))
                 - np.searchsorted(hit, np.maximum(hit - WINDOW, words.first[doc])))

@@ -7,6 +7,7 @@ import pyarrow as pa
 
 from postcluster.llm import quality, toxicity
 from postcluster.llm.catalog import op9_toxicity, op10_quality
+from postcluster.llm.learning import fit_rows, held_out
 from postcluster.llm.words import scan
 
 CHECK = "/root/testdata/sf0.1"
@@ -53,11 +54,51 @@ def test_a_lexicon_beyond_one_automaton_keeps_all_terms(spark, monkeypatch):
     assert automaton.run(scanned).tolist() == want
 
 
-def test_quotation_weighs_less():
+QUOTED = ['he wrote "moron" there', 'he wrote \u201cmoron\u201d there', "\u00abmoron\u00bb", "\u00ab moron \u00bb", "\u00ab\u00a0moron\u00a0\u00bb",
+          "\u201emoron\u201c sagte er", "\u00bbmoron\u00ab", "\u300cmoron\u300d", 'he wrote "you are a moron" there', "'moron' he said",
+          '"You are a moron!" she shouted.', "she said \u2018it\u2019s a moron\u2019 again", '("moron")', '"what \'a fine\' moron"']
+PLAIN = ["you moron there", "moron\u2026 yes", "moron\u2014yes", "\u00a1moron!", "\u00bfmoron?", "don't be a moron, it's true", "a moron's word",
+         '"yes" moron "no"', 'he said "no', "moron", "rock \u2019n\u2019 roll, moron", '"' + "word " * 50 + "moron " + "word " * 50 + '"',
+         "the \u201cyes\u201d of a moron"]
+
+
+def test_open_quotations_weigh_less():
     automaton = toxicity.build_automaton([b"moron"], [])
-    plain, quoted = toxicity.features(pa.array(["you moron there", 'he wrote "moron" there']), automaton)
-    assert quoted[0] < plain[0] and quoted[3] < plain[3]
-    assert not toxicity.features(pa.array([None, "", "fine"], pa.string()), automaton).any()
+    for texts, weight in ((QUOTED, toxicity.QUOTED_WEIGHT), ([t for t in PLAIN if "moron" in t], 1.0)):
+        # One by one and all in one batch: marks of other texts play no part.
+        for one in ([toxicity.features(pa.array([t]), automaton)[0] for t in texts], toxicity.features(pa.array(texts), automaton)):
+            for text, row in zip(texts, one):
+                assert np.isclose(np.expm1(row[0]), weight), text
+    assert not toxicity.features(pa.array([None, "", "fine", '"'], pa.string()), automaton).any()
+
+
+def test_features_and_score_equal_a_plain_version():
+    automaton = toxicity.build_automaton([b"moron", b"idiotic"], [b"scum"])
+    rng = np.random.default_rng(8)
+    vocabulary = ["moron", "idiotik", "scumbag", "word", "other", "Moron", "h\u00e9"]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 60))) for _ in range(60)]
+    weights = rng.normal(size=toxicity.FEATURES + 1)
+    got, scores = toxicity.features(pa.array(texts), automaton), toxicity.Model(automaton, weights).scores(pa.array(texts))
+    kinds = {"moron": 0, "Moron": 0, "idiotik": 1, "scumbag": 2}
+    for text, row, score in zip(texts, got, scores):
+        words = text.split()
+        hits = [i for i, w in enumerate(words) if w in kinds]
+        near = [np.log1p(sum(0 < abs(i - j) <= toxicity.WINDOW for j in hits) + 1) for i in hits]
+        want = [sum(kinds[words[i]] == k for i in hits) for k in range(3)]
+        want += [sum(near), 100 * len(hits) / max(len(words), 1), max(near, default=0)]
+        assert np.allclose(row, np.log1p(want)), text
+        x = float(np.dot(row, weights[:-1]) + weights[-1])
+        assert np.isclose(score, 1 / (1 + np.exp(-x)))
+
+
+def test_all_terms_with_evidence_are_taken(spark):
+    terms = ["q" * 45] + [f"{c}{d}zzzz{c}" for c in "bcdfghjklmnpqrstvw" for d in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    rng = np.random.default_rng(3)
+    rows = [(" ".join([*terms, *(f"own{i}words{k}" for k in range(40))]), 1) for i in range(12)]
+    rows += [("window " + "".join(rng.choice(list("aeiou"), 12)), 0) for _ in range(300)]
+    words, stems = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, y int"))
+    covered = [t for t in terms if t.encode() in words or any(t.encode().startswith(s) for s in stems)]
+    assert len(covered) == len(terms) > 512
 
 
 def accuracy(got, labels, column):
@@ -88,12 +129,20 @@ def test_terms_of_a_small_language_are_learned(spark):
 
 
 def test_toxicity_recall_in_each_language(spark):
+    """On rows that the fit has not seen."""
     docs, labels = (spark.read.parquet(f"{CHECK}/{t}.parquet") for t in ("documents", "labels"))
-    toxic = docs.join(labels.where("toxic = 1"), "doc_id")
+    toxic = docs.join(labels.where("toxic = 1").select("doc_id"), "doc_id").where(held_out(toxicity.F.col("doc_id")))
     got = toxicity.score_toxicity(toxic, toxicity.fit(docs, labels), keep=["lang"]).collect()
     for lang in ("de", "en", "es", "fr"):
         mine = [r.predicted for r in got if r._row.lang == lang]
-        assert len(mine) > 20 and np.mean(mine) >= 0.9, lang
+        assert len(mine) >= 5 and np.mean(mine) >= 0.85, lang
+
+
+def test_the_fit_is_bounded_whatever_repeats(spark):
+    docs = spark.createDataFrame([(1, f"t{i}") for i in range(50)] + [(2, "x"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in (1, 1, 2, 3)], "doc_id long, quality int, toxic int")
+    got = fit_rows(docs, labels, "quality", 3).collect()
+    assert len(got) <= 3 and [r.text for r in got if r.text and r.text.startswith("t")] in ([], ["t0"])
 
 
 def test_quality_on_held_out_rows(spark):
