@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postcluster.llm.frames import TEXT, cut, map_texts
+from postcluster.llm.frames import TEXT, cut, drop, map_texts
 from postcluster.llm.learning import FIT_ROWS, fit_rows
 from postcluster.llm.words import byte_classes, scan, segment_sums, seeds64, slices
 
@@ -205,6 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> Model:
     made = map_texts(rows, "text", ["y"], "x array<float>", lambda: lambda texts: [
         pa.array(list(pool(texts, shared.value)), pa.list_(pa.float32()))])
     found = made.select("_row.y", "x").collect()  # bound rows of INPUTS numbers
+    drop(rows)
     found.sort(key=lambda r: (r.x, r.y))          # the fit does not depend on their order
     x = np.array([r.x for r in found], float).reshape(len(found), INPUTS)
     y = np.array([r.y for r in found], float)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postcluster.llm.frames import map_texts
+from postcluster.llm.frames import cut, drop, map_texts
 from postcluster.llm.learning import FIT_ROWS, fit_rows
 from postcluster.llm.words import byte_classes, scan, segment_sums
 
@@ -379,13 +379,12 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> Model:
     Without any usable label, or any term with enough evidence, every score is 0.5 less a hair (nothing is
     called toxic).
     """
-    from postcluster.llm.frames import cut
-
     rows = cut(fit_rows(docs, labels, "toxic", bound))
     automaton = build_automata(*learn_lexicon(rows))
     made = map_texts(rows, "text", ["y"], "x array<double>",
                      lambda: lambda texts: [pa.array(list(features(texts, automaton)), pa.list_(pa.float64()))])
     found = made.select("_row.y", "x").collect()  # bound rows of a few numbers
+    drop(rows)
     x = np.array([r.x for r in found]).reshape(len(found), FEATURES)
     y = np.array([r.y for r in found], float)
     if len(set(y)) < 2 or not x.any():
