@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postcluster.llm import bpe, decontaminate, minhash_dedup, substring_dedup, toxicity
-from postcluster.llm.frames import ROW, cut, find_code
+from postcluster.llm.frames import ROW, cut, find_code, keep_only
+from postcluster.session import open_folders
 
 #: Near copies share at least this % of their runs of so many words.
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
@@ -81,11 +82,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` through all stages; each stage's rows are written to the
-    shared folder and read again by the next."""
+    shared folder and read again by the next, and deleted when that has
+    written its own."""
     find_code(spark)
+    before = open_folders(spark)
     docs = _table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = cut(docs)
+            keep_only(spark, before, docs)
     return docs
