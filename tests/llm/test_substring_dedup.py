@@ -69,7 +69,7 @@ def test_array_helpers():
     for width in (1, 2, 3, 7, 28):
         assert sd.sliding_min(x, width).tolist() == [min(x[i:i + width]) for i in range(len(x) - width + 1)]
     for width in (1, 2, 3, 5, 35):
-        h = sd.run_hashes(np.tile(x[:20], 3), width)
+        h = sd.run_hashes(np.tile(np.arange(20, dtype=np.uint64), 3), width)
         assert len(h) == 61 - width and h[0] == h[20] and len(set(h[:20].tolist())) == 20
 
 
