@@ -51,9 +51,10 @@ def raw_posting_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = Observation("lines-read")
     lines = text.frame.observe(read, F.count(F.lit(1)).alias("n"))
     parsed = parse_postings(lines).agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    counts = [("lines", read.get["n"]), ("postings", parsed)]
+    counts = {"lines": read.get["n"], "postings": parsed}
     text.discard()
-    return spark.createDataFrame(counts, "what string, row_count long")
+    rows = ", ".join(f"('{what}', {n}L)" for what, n in counts.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS counts(what, row_count)")
 
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
