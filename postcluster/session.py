@@ -166,10 +166,8 @@ def write_lines(lines: DataFrame, name: str) -> Written:
 
 def settle(df: DataFrame, *inputs: Written) -> DataFrame:
     """A result of few rows (bounded by a parameter, such as k clusters) as a
-    frame of its own, so that the tables it was computed from can go now.
-    An Arrow table becomes a local relation: a frame made of Python rows would
-    start a Python worker for each of its partitions when it is read."""
-    rows = df.toArrow()
+    frame of its own, so that the tables it was computed from can go now."""
+    rows = df.collect()
     for written in inputs:
         written.discard()
     return df.sparkSession.createDataFrame(rows, df.schema)
