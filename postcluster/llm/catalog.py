@@ -3,6 +3,7 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -288,6 +289,22 @@ SELECT page_id, host, path, rule,
 FROM judged"""
 
 
+def _notice_pattern(template: str) -> str:
+    """A template as a regular expression over words that a space follows, piece by piece."""
+    out = " "
+    for piece in re.split(r"(<<optional\b|<<var [0-9-]+>>|>>)", template):
+        if piece == "<<optional":
+            out += "(?:"
+        elif piece == ">>":
+            out += ")?"
+        elif piece.startswith("<<var"):
+            limits = piece[6:-2].split("-")
+            out += f"(?:[^ ]+ ){{{limits[0] if len(limits) > 1 else 1},{limits[-1]}}}"
+        else:
+            out += "".join(f"{w} " for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", piece.lower()))
+    return out
+
+
 def _licenses_sql() -> str:
     """Words by regular expression; a phrase's places by the words before it."""
     norm = "' ' || array_to_string(words, ' ') || ' '"
@@ -299,8 +316,8 @@ def _licenses_sql() -> str:
         f"words[i:i + {len(p.split()) - 1}], ' ') = '{p}')" for p in licenses.BASE_PHRASES)
     base = ", ".join(f"CASE WHEN contains(line, ' {p} ') THEN '{label}' END"
                      for p, label in licenses.BASE_PHRASES.items())
-    more = ", ".join(f"CASE WHEN regexp_matches(line, '{licenses.template_pattern(t)}') THEN '{label}' END"
-                     for label, t in licenses.TEMPLATES.items())
+    more = ", ".join(f"CASE WHEN regexp_matches(line, '{_notice_pattern(t)}') THEN '{label}' END"
+                     for label, t in licenses.standard_templates().items())
 
     def joined(items: str) -> str:
         return f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{items}], lambda x: x IS NOT NULL))), ','), '')"

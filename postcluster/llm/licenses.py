@@ -1,20 +1,30 @@
 """License notices found by template-markup matching.
 
-A template is wording with markup: ``<<optional ...>>`` holds words that a
-notice may leave out, ``<<var N>>`` stands for one to N words of any kind
-(a name, a year).  All other wording is mandatory and must stand in the text
-word for word.  Each template is compiled into an automaton over words: a
-mandatory word is an edge, an optional region adds a way around it, a
-replaceable region is a chain of edges that any word takes.
+A template is the wording of a notice or of a whole license with markup:
+
+* ``<<optional ...>>`` holds what a notice may leave out, other markup included;
+* ``<<var N>>`` or ``<<var M-N>>`` stands for one (or M) to N words of any
+  kind: a name, a year, the mark of a list.
+
+All other wording is mandatory and must stand in the text word for word.  Each
+template is compiled into an automaton over words: state i reads the i-th word
+of the wording (or any word, in a replaceable region) to state i + 1; optional
+regions and words beyond a region's minimum add free moves ahead.  One pass over
+a text follows all beginnings together; of the notices of a template that
+overlap, the one that begins first counts, as long as it goes.
 
 Words are those of the text after A-Z is lower-cased, so punctuation and line
 breaks do not matter.  A text whose mandatory wording differs is not accepted.
+The whole licenses stand in ``license_texts``, one file each; a file's name and
+``-full`` is its label.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from importlib.resources import files
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -45,97 +55,112 @@ TEMPLATES = {
     "proprietary": "copyright <<optional c>> <<var 6>> all rights reserved",
 }
 
-#: score of a text with a full notice, with a base phrase alone, with neither
+#: score of a text with a template's notice, with a base phrase alone, with neither
 FULL, PHRASE_ONLY, NONE = 1.0, 0.5, 0.0
 
 
+MARKUP = re.compile(r"(<<optional\b|<<var\s+[0-9]+(?:-[0-9]+)?>>|>>)")
+
+
+def standard_templates() -> dict[str, str]:
+    """``TEMPLATES`` and the whole licenses, by label."""
+    whole = {f.name.removesuffix(".txt") + "-full": f.read_text(encoding="utf-8")
+             for f in files(__package__).joinpath("license_texts").iterdir() if f.name.endswith(".txt")}
+    return TEMPLATES | dict(sorted(whole.items()))
+
+
 @dataclass
 class Automaton:
-    """Words accepted by a template.  State i has edges ``words[i]`` (word ->
-    state), ``any_to[i]`` (state or -1) and free moves ``free[i]``."""
+    """Words accepted by a template.  State i reads ``words[i]`` (None: any
+    word) to state i + 1; ``reach[i]`` are the states that i is or moves to freely."""
 
-    words: list[dict[bytes, int]]
-    any_to: list[int]
-    free: list[set[int]]
+    words: list[bytes | None]
+    reach: list[tuple[int, ...]]
     starts: frozenset[bytes]
-    anchor: bytes  # a mandatory word sequence, without which nothing is accepted
-
-    @property
-    def final(self) -> int:
-        return len(self.words) - 1
-
-    def closure(self, states: set[int]) -> set[int]:
-        todo, seen = list(states), set(states)
-        while todo:
-            for s in self.free[todo.pop()] - seen:
-                seen.add(s)
-                todo.append(s)
-        return seen
-
-    def accepts_at(self, words: list[bytes], at: int) -> bool:
-        """True if a notice starts with word ``at``."""
-        states = self.closure({0})
-        while states and self.final not in states:
-            if at == len(words):
-                return False
-            word, after = words[at], set()
-            for s in states:
-                if word in self.words[s]:
-                    after.add(self.words[s][word])
-                if self.any_to[s] >= 0:
-                    after.add(self.any_to[s])
-            states = self.closure(after)
+    anchor: bytes  # the longest mandatory word sequence, without which nothing is accepted
+
+    def find(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """First word and end of each notice, leftmost and then longest first."""
+        final, found = len(self.words), []
+        active: dict[int, int] = {}  # state -> where its notice began
+        best, at = None, 0
+        while True:
+            if best is None and at < len(words) and words[at] in self.starts:
+                for state in self.reach[0]:
+                    active.setdefault(state, at)
+            if at == len(words) or not active:
+                if best is not None:
+                    found.append(best)
+                    active, best, at = {}, None, best[1]
+                    continue
+                if at == len(words):
+                    return found
+                at += 1
+                continue
+            after: dict[int, int] = {}
+            for state, first in active.items():
+                if self.words[state] is None or self.words[state] == words[at]:
+                    for s in self.reach[state + 1]:
+                        if first < after.get(s, len(words)):
+                            after[s] = first
             at += 1
-        return self.final in states
-
-
-def template_regions(template: str) -> list[tuple[str, list[bytes], int]]:
-    """(kind, words, length) of the mandatory, optional and replaceable regions."""
-    regions = []
-    for part in re.split(r"(<<.*?>>)", template):
-        if part.startswith("<<var"):
-            regions.append(("var", [], int(part[5:-2])))
-        elif part.startswith("<<optional"):
-            regions.append(("optional", part[10:-2].encode().split(), 0))
-        elif part.strip():
-            regions.append(("must", part.encode().split(), 0))
-    return regions
+            first = after.pop(final, None)
+            if first is not None and (best is None or first <= best[0]):
+                best = (first, at)
+            active = after if best is None else {s: f for s, f in after.items() if f <= best[0]}
+
+
+def parse_template(template: str) -> list:
+    """A template as a list of ``bytes`` (a word), ``(least, most)`` (a
+    replaceable region) and lists (optional regions)."""
+    open_lists: list[list] = [[]]
+    for part in MARKUP.split(template):
+        if part.startswith("<<optional"):
+            open_lists.append([])
+        elif part.startswith("<<var"):
+            limits = [int(n) for n in part[5:-2].split("-")]
+            open_lists[-1].append((limits[0] if len(limits) == 2 else 1, limits[-1]))
+        elif part == ">>":
+            if len(open_lists) == 1:
+                raise ValueError(f"markup ends that did not begin: {template[:60]!r}")
+            region = open_lists.pop()
+            open_lists[-1].append(region)
+        else:
+            open_lists[-1].extend(normal(part).split())
+    if len(open_lists) > 1:
+        raise ValueError(f"markup that does not end: {template[:60]!r}")
+    return open_lists[0]
 
 
 def compile_template(template: str) -> Automaton:
-    words: list[dict[bytes, int]] = [{}]
-    any_to, free = [-1], [set()]
-
-    def new_state() -> int:
-        words.append({})
-        any_to.append(-1)
-        free.append(set())
-        return len(words) - 1
-
-    regions = template_regions(template)
-    for kind, region, length in regions:
-        begin = len(words) - 1
-        if kind == "var":
-            ends = []
-            for _ in range(length):
-                state = len(words) - 1
-                any_to[state] = new_state()
-                ends.append(any_to[state])
-            for state in ends[:-1]:
-                free[state].add(ends[-1])
-            continue
-        for word in region:
-            state = len(words) - 1
-            words[state][word] = new_state()
-        if kind == "optional":
-            free[begin].add(len(words) - 1)
-    anchor = max((b" ".join(r) for k, r, _ in regions if k == "must"), key=len)
-    made = Automaton(words, any_to, free, frozenset(), b" " + anchor + b" ")
-    first = made.closure({0})
-    if any(any_to[s] >= 0 for s in first) or made.final in first:
-        raise ValueError(f"a template must begin with wording: {template!r}")
-    made.starts = frozenset(w for s in first for w in words[s])
-    return made
+    words: list[bytes | None] = []
+    ahead: dict[int, list[int]] = {}  # free moves, always to a later state
+
+    def add(items: list) -> None:
+        for item in items:
+            begin = len(words)
+            if isinstance(item, bytes):
+                words.append(item)
+            elif isinstance(item, tuple):
+                least, most = item
+                words.extend([None] * most)
+                for state in range(begin + least, len(words)):
+                    ahead.setdefault(state, []).append(len(words))
+            else:
+                add(item)
+                ahead.setdefault(begin, []).append(len(words))
+
+    items = parse_template(template)
+    add(items)
+    reach: list[tuple[int, ...]] = [()] * (len(words) + 1)
+    for state in range(len(words), -1, -1):
+        reach[state] = tuple(sorted({state}.union(*(reach[s] for s in ahead.get(state, [])))))
+    if len(words) in reach[0] or any(words[s] is None for s in reach[0]):
+        raise ValueError(f"a template must begin with wording: {template[:60]!r}")
+    runs = [b" ".join(run) for kind, run in groupby(items, lambda i: isinstance(i, bytes)) if kind]
+    if not runs:
+        raise ValueError(f"a template needs mandatory wording: {template[:60]!r}")
+    return Automaton(words, reach, frozenset(words[s] for s in reach[0]), b" " + max(runs, key=len) + b" ")
 
 
 _NORMAL = bytes(np.where(ALNUM_WORDS[LOWER] > 0, LOWER, 0x20).astype(np.uint8))
@@ -155,29 +180,31 @@ def places(line: bytes, phrase: str) -> list[int]:
     return found
 
 
-def notice_labels(line: bytes, automata: dict[str, Automaton]) -> set[str]:
-    """Labels of the templates of which a notice stands in the text."""
-    found, words = set(), None
-    for label, automaton in automata.items():
-        if automaton.anchor not in line:  # its longest mandatory run
-            continue
-        words = line.split() if words is None else words
-        if any(automaton.accepts_at(words, i) for i, w in enumerate(words) if w in automaton.starts):
-            found.add(label)
+def notices(line: bytes, automata: dict[str, Automaton]) -> list[tuple[str, int, int]]:
+    """(label, first word, last word) of the notices in ``normal`` text, by
+    label and place."""
+    found, words = [], None
+    for label in sorted(automata):
+        if automata[label].anchor in line:
+            words = line.split() if words is None else words
+            found += [(label, first, end - 1) for first, end in automata[label].find(words)]
     return found
 
 
 def scan_licenses(df: DataFrame, text: str = "text", keep: list[str] | None = None,
                   phrases: dict[str, str] = BASE_PHRASES,
-                  templates: dict[str, str] = TEMPLATES) -> DataFrame:
+                  templates: dict[str, str] | None = None) -> DataFrame:
     """Kept columns (struct ``_row``) with what each whole text says of its license.
 
     ``n_words``; ``n_base`` places of base phrases with their ``first_word``
     and ``last_word`` (null without any); ``base_labels``; ``labels`` with the
     templates' added (both sorted, distinct, comma-joined, empty without any);
-    ``score`` 1 with a full notice, 0.5 with a base phrase alone, else 0.
-    Null and empty texts have no words and no labels.
+    ``score`` 1 with a template's notice, 0.5 with a base phrase alone, else 0;
+    ``notices``, the label, first and last word of every notice.  ``templates``
+    are :func:`standard_templates` unless given.  Null and empty texts have no
+    words, labels or notices; repeated rows each get the same.
     """
+    templates = standard_templates() if templates is None else templates
 
     def make():
         automata = {label: compile_template(t) for label, t in templates.items()}
@@ -189,27 +216,23 @@ def scan_licenses(df: DataFrame, text: str = "text", keep: list[str] | None = No
                 at = {p: places(line, p) for p in phrases}
                 base = {phrases[p] for p, found in at.items() if found}
                 every = sorted(i for found in at.values() for i in found)
-                more = notice_labels(line, automata)
+                whole = notices(line, automata)
+                more = {label for label, _, _ in whole}
                 out.append((max(0, line.count(b" ") - 1) if line.strip() else 0, len(every),
                             every[0] if every else None, every[-1] if every else None,
                             ",".join(sorted(base)), ",".join(sorted(base | more)),
-                            FULL if more else PHRASE_ONLY if base else NONE))
-            columns = zip(*out) if out else [[]] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())
+                            FULL if more else PHRASE_ONLY if base else NONE,
+                            [dict(zip(("label", "first_word", "last_word"), n)) for n in whole]))
+            columns = zip(*out) if out else [[]] * 8
+            place = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64())])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(),
+                     pa.list_(place))
             return [pa.array(c, t) for c, t in zip(columns, kinds)]
 
         return work
 
     return map_texts(df, text, keep or df.columns,
                      "n_words long, n_base long, first_word long, last_word long,"
-                     " base_labels string, labels string, score double", make)
-
+                     " base_labels string, labels string, score double,"
+                     " notices array<struct<label:string,first_word:long,last_word:long>>", make)
 
-def template_pattern(template: str) -> str:
-    """The same language as a regular expression over ``normal`` text, for
-    checking the automata against an independent matcher."""
-    out = " "
-    for kind, region, length in template_regions(template):
-        run = "".join(f"{w.decode()} " for w in region)
-        out += run if kind == "must" else f"({run})?" if kind == "optional" else f"([^ ]+ ){{1,{length}}}"
-    return out
