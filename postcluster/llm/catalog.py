@@ -62,6 +62,33 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def _near_documents_sql() -> str:
+    """Shared shingles counted for every pair that has some; components by closure."""
+    share = minhash_dedup.PERCENT
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+sets AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN []::VARCHAR[]
+    WHEN len(words) < {minhash_dedup.SHINGLE} THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - {minhash_dedup.SHINGLE - 2}),
+      lambda i: array_to_string(words[i:i + {minhash_dedup.SHINGLE - 1}], ' '))) END AS shingles
+  FROM w),
+one AS MATERIALIZED (SELECT r, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b
+  FROM one a JOIN one b ON a.shingle = b.shingle AND a.r <> b.r AND 100 * a.n >= {share} * b.n AND 100 * b.n >= {share} * a.n
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= {share} * (a.n + b.n - count(*))),
+reach(r, low) AS (
+  SELECT r, doc_id FROM sets
+  UNION
+  SELECT l.b, reach.low FROM reach JOIN links l ON l.a = reach.r)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, min(low) AS component_id, doc_id = min(low) AS kept
+FROM sets JOIN reach USING (r) GROUP BY r, doc_id, shingles"""
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return done.select(f"{ROW}.page_id", "host", "path", "rule", "verdict")
@@ -71,11 +98,55 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def _near_vectors_sql() -> str:
+    """The cosine of every pair of a label; components by closure."""
+    return f"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+sound AS MATERIALIZED (
+  SELECT * FROM v
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(v, lambda x: x <> 0)) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+  WHERE list_cosine_similarity(a.v, b.v) >= {embedding_dedup.THRESHOLD}),
+reach(r, low) AS (
+  SELECT r, vec_id FROM v
+  UNION
+  SELECT l.b, reach.low FROM reach JOIN links l ON l.a = reach.r),
+low AS (SELECT r, min(low) AS low FROM reach GROUP BY r),
+n AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, low::BIGINT AS component_id, vec_id = low AS kept
+FROM v JOIN low USING (r) LEFT JOIN n USING (r)"""
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return done.select(f"{ROW}.doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def _substring_sql() -> str:
+    """Every window as a string; the words that a string seen twice covers."""
+    width = substring_dedup.WIDTH
+    return f"""
+WITH w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+windows AS MATERIALIZED (
+  SELECT r, i, array_to_string(words[i:i + {width - 1}], ' ') AS sequence
+  FROM (SELECT r, words, unnest(range(1, len(words) - {width - 2})) AS i FROM w)),
+twice AS (SELECT sequence FROM windows GROUP BY sequence HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + {width})) AS i FROM windows SEMI JOIN twice USING (sequence)),
+stay AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept
+  FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w) ANTI JOIN gone USING (r, i)
+  GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN stay USING (r)"""
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return done.select(f"{ROW}.doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -361,7 +432,10 @@ QUERIES: dict[str, Query] = {
 
 def oracle_queries() -> dict[str, str]:
     return {
+        "op4_minhash_dedup": _near_documents_sql(),
         "op5_url_filters": _url_sql(),
+        "op6_embedding_dedup": _near_vectors_sql(),
+        "op7_substring_dedup": _substring_sql(),
         "op8_licenses": _licenses_sql(),
         "op11_collocations": _collocations_sql(),
         "op12_vector_codes": _codes_sql(),

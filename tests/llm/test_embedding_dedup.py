@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 
 from postcluster.llm import embedding_dedup as ed
-from postcluster.llm.catalog import op6_embedding_dedup
+from postcluster.llm.catalog import op6_embedding_dedup, oracle_queries
 from tests.llm.conftest import SF
+from tests.llm.sql import same_rows
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -72,3 +73,7 @@ def test_empty_table_and_clashing_columns(spark):
 def test_query_over_the_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert found(op6_embedding_dedup(spark, SF)) == brute(rows)
+
+
+def test_query_equals_its_sql(spark):
+    same_rows(op6_embedding_dedup(spark, SF), oracle_queries()["op6_embedding_dedup"], SF)

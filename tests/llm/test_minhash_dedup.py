@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 
 from postcluster.llm import minhash_dedup as md
-from postcluster.llm.catalog import op4_minhash_dedup
+from postcluster.llm.catalog import op4_minhash_dedup, oracle_queries
 from tests.llm.conftest import SF, clashing_words
+from tests.llm.sql import same_rows
 
 
 def set_of(text, k=3):
@@ -163,3 +164,7 @@ def test_query_over_the_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = op4_minhash_dedup(spark, SF).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+
+
+def test_query_equals_its_sql(spark):
+    same_rows(op4_minhash_dedup(spark, SF), oracle_queries()["op4_minhash_dedup"], SF)

@@ -9,8 +9,9 @@ import numpy as np
 import pytest
 
 from postcluster.llm import substring_dedup as sd
-from postcluster.llm.catalog import op7_substring_dedup
+from postcluster.llm.catalog import op7_substring_dedup, oracle_queries
 from tests.llm.conftest import SF, clashing_words
+from tests.llm.sql import same_rows
 
 
 def words_of(text):
@@ -107,3 +108,7 @@ def test_query_over_the_whole_table(spark):
     want = [(r.doc_id, n, gone, hashlib.sha256(kept.encode()).hexdigest())
             for r, (n, gone, kept) in zip(rows, brute([r.text for r in rows], 35))]
     assert [tuple(r) for r in got] == want
+
+
+def test_query_equals_its_sql(spark):
+    same_rows(op7_substring_dedup(spark, SF), oracle_queries()["op7_substring_dedup"], SF)

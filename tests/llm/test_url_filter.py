@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from postcluster.llm import url_filter as uf
@@ -81,6 +83,41 @@ def test_propagation_equals_brute_force(spark):
     assert verdicts["http://spam.org/"] == "block" and verdicts["http://lone.org/"] == "allow"
 
 
+def test_a_graph_of_some_size_equals_brute_force(spark):
+    rng = random.Random(8)
+    rules = [("allow", "good.org", "/"), ("block", "bad.org", "/"), ("block", "mixed.net", "/ads/")]
+    hosts = [f"{kind}{i}.org" for kind, n in (("g", 60), ("b", 6), ("n", 120)) for i in range(n)]
+    hosts += ["good.org", "bad.org", "mixed.net"]
+    near = {"g": ["good.org"], "b": ["bad.org"]}
+    data = []
+    for i in range(1500):  # a third of all links go to one host; only the farm links to the blocked
+        host = rng.choice(hosts)
+        to = ["n0.org"] * rng.randrange(2)
+        for _ in range(rng.randrange(6)):
+            kind = host[0] if rng.random() < 0.8 else rng.choice("gn")
+            to.append(rng.choice(near.get(kind, []) * 20 + [h for h in hosts if h[0] == kind]))
+        data.append((f"http://{host}/{rng.choice(['', 'ads/', 'x?'])}{i}", to))
+    df = spark.createDataFrame([(i, u, links(*t)) for i, (u, t) in enumerate(data)], PAGES)
+    want = brute(data, rules, uf.DAMPING, uf.STEPS)
+    judged = df.select(uf.host_of(df.url).alias("host"), uf.path_of(df.url).alias("path"))
+    judged = judged.withColumn("ruled", uf.rule_of(judged.host, judged.path, rules))
+    scores = uf.propagate(uf.host_seeds(judged), uf.host_edges(df, "url", "html")).collect()
+    for r in scores:
+        assert r.trust == pytest.approx(want["trust"][r.host])
+        assert r.distrust == pytest.approx(want["distrust"][r.host])
+    bad = {h for h in want["trust"] if want["distrust"][h] >= uf.BLOCK_AT and want["distrust"][h] > want["trust"][h]}
+    got = rows(spark, [(u, links(*t)) for u, t in data], rules=rules)
+    assert {h for h, _, rule, verdict in got if rule is None and verdict == "block"} == {
+        h for h, _, rule, _ in got if rule is None and h in bad}
+    assert bad >= {f"b{i}.org" for i in range(6)} and not any(h[0] == "g" for h in bad)
+
+
+def test_repeated_rows_and_very_long_urls(spark):
+    long = "http://m.example.com/en/" + "a/" * 200_000
+    assert rows(spark, [(long, None), (long, None), ("http://" + "h" * 100_000, "")]) == [
+        ("m.example.com", long[20:], "example.com/en/", "block")] * 2 + [("h" * 100_000, "", None, "allow")]
+
+
 def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "http://a.com/", "", "x", "y")], PAGES + ", host string, bad_host string")
     row = uf.filter_urls(df).collect()[0]
